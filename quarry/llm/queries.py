@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, sharding
+from . import bpe, exact_dedup, sharding, toxicity
 
-MODULES = (bpe, exact_dedup, sharding)
+MODULES = (bpe, exact_dedup, sharding, toxicity)
 
 
 def queries() -> dict:
