@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, sharding, toxicity
+from . import bpe, exact_dedup, mixing, sharding, toxicity
 
-MODULES = (bpe, exact_dedup, sharding, toxicity)
+MODULES = (bpe, toxicity, mixing, exact_dedup, sharding)
 
 
 def queries() -> dict:
