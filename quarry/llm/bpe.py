@@ -37,7 +37,7 @@ TABLE = 150_000
 BLOCK = 256
 PIECES = 8192
 #: Python counts U+001C to U+001F as white space; the tokenizer's pattern does not.
-WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD = re.compile("[\x1c-\x1f]")
 
 

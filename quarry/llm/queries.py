@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, license_scan, mixing, near_dedup, sharding, toxicity
+from . import bpe, exact_dedup, license_scan, mixing, near_dedup, sharding, token_files, toxicity
 
-MODULES = (bpe, toxicity, mixing, exact_dedup, near_dedup, license_scan, sharding)
+MODULES = (bpe, toxicity, token_files, mixing, exact_dedup, near_dedup, license_scan, sharding)
 
 
 def queries() -> dict:
