@@ -315,13 +315,13 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-def _mapped(df: DataFrame, text_col: str, fields: list[T.StructField], spec: str, row) -> DataFrame:
-    """`df` with new fields: row(codec, value of text_col) gives their values. The tokenizer's file is read by the driver and broadcast."""
+def _mapped(df: DataFrame, text_col: str, fields: list[T.StructField], spec: str, row, keep: list[str] | None = None) -> DataFrame:
+    """`df`, or its columns `keep`, with new fields: row(codec, value of text_col) gives their values. The tokenizer's file is read by the driver and broadcast."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
 
     names = [f.name for f in fields]
-    kept = [f for f in df.schema.fields if f.name not in names]
+    kept = [f for f in df.schema.fields if f.name not in names and (keep is None or f.name in keep)]
     columns, schema = [f.name for f in kept], T.StructType([*kept, *fields])
     arrow = to_arrow_schema(T.StructType(fields))
     shared = df.sparkSession.sparkContext.broadcast(spec)
@@ -360,10 +360,10 @@ def _digest(codec: Codec, text: str | None) -> tuple[int, str, str]:
     return n, ids.hexdigest(), decoded.hexdigest()
 
 
-def digest_documents(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """`df` with n_tokens, ids_sha256 and decoded_sha256 of its encoding and of what that decodes to, both handled in blocks."""
+def digest_documents(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`df`, or its columns `keep`, with n_tokens, ids_sha256 and decoded_sha256 of its encoding and of what that decodes to, both handled in blocks."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    return _mapped(df, text_col, fields, read_spec(path), _digest)
+    return _mapped(df, text_col, fields, read_spec(path), _digest, keep)
 
 
 def default_path() -> str:
@@ -373,7 +373,7 @@ def default_path() -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest_documents(documents(spark, sf_dir).select("doc_id", "text"), default_path()).drop("text")
+    return digest_documents(documents(spark, sf_dir).select("doc_id", "text"), default_path(), keep=["doc_id"])
 
 
 QUERIES = {"op1_bpe": op1_bpe}
