@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, license_scan, mixing, near_dedup, neighbours, sharding, token_files, toxicity
+from . import bpe, exact_dedup, license_scan, mixing, near_dedup, neighbours, sharding, token_counts, token_files, toxicity
 
-MODULES = (bpe, toxicity, token_files, neighbours, mixing, exact_dedup, near_dedup, license_scan, sharding)
+MODULES = (bpe, toxicity, token_files, neighbours, mixing, exact_dedup, near_dedup, token_counts, license_scan, sharding)
 
 
 def queries() -> dict:
