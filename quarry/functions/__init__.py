@@ -1 +1 @@
-
+"""Column functions and a registry of those that queries may call by name."""
