@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES: tuple[str, ...] = ("cleaning", "graph")
+MODULES: tuple[str, ...] = ("cleaning", "graph", "search")
 
 
 def queries() -> dict:

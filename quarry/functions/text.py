@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space as Python's str counts it, spelled for Java and RE2 alike.
 SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -49,7 +50,7 @@ def unescape(c: Column | str, rounds: int = 3) -> Column:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape_once(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
@@ -95,13 +96,13 @@ def lines_normal(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical(s: pd.Series) -> pd.Series:
     """NFKC, without white space, case folded; null is empty."""
     return s.map(lambda x: re.sub(r"\s+", "", unicodedata.normalize("NFKC", x or "")).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _scoring(s: pd.Series) -> pd.Series:
     table = str.maketrans(PUNCTUATION)
     return s.map(lambda x: " ".join(unicodedata.normalize("NFKC", x or "").translate(table).lower().split()))
@@ -182,7 +183,7 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, "N/A").otherwise(F.format_string("%.1f%%", part * 100.0 / whole))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(s: pd.Series) -> pd.Series:
     """JSON text with sorted keys and the usual separators; null and broken text stay null."""
 
@@ -195,7 +196,7 @@ def canonical_json(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def json_length(s: pd.Series) -> pd.Series:
     """Length of the value's JSON text as written with the usual separators."""
     return s.map(lambda x: len(json.dumps(json.loads(x), ensure_ascii=False)) if x else 0).astype("int32")
