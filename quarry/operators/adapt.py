@@ -29,7 +29,7 @@ def _list(raw: str, path: str, fields: dict[str, Sequence[str]]) -> Column:
 
 
 def _channels(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def materialise(lines: DataFrame, line: str = "line") -> DataFrame:
