@@ -60,7 +60,7 @@ class Rollup:
         bases = self._folders("base")
         if not bases:
             return None, []
-        lines = self.spark.read.text(f"{self.root}/base/{bases[-1]}-batches").collect()  # one row
+        lines = self.spark.read.text(f"{self.root}/folded/{bases[-1]}").collect()  # one row
         return bases[-1], json.loads(lines[0].value)
 
     def committed(self) -> list[str]:
@@ -88,7 +88,7 @@ class Rollup:
         """Puts all batches into a new base. The list of what it holds is written first; the base counts once its success file is there."""
         base, names = self._base()[0], self.committed()
         number = f"{int(base) + 1 if base else 0:012d}"
-        self.spark.createDataFrame([(json.dumps(names),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.root}/base/{number}-batches")
+        self.spark.createDataFrame([(json.dumps(names),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.root}/folded/{number}")
         self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.root}/base/{number}")
         for name in self._folders("batch"):
             if name in names:
