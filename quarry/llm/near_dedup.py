@@ -232,15 +232,15 @@ def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 
 def drop_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `df` that stay: of each component those with its smallest id. Only rows that go are joined by; their ids pass a bit table of bounded size first."""
-    gone = stored(find_near(df, id_col, text_col, words, percent).where("not kept").select(F.col(id_col).alias("id")).distinct(), "near-gone")
+    gone = stored(find_near(df, id_col, text_col, words, percent).where("not kept").select(F.col(id_col).alias("__gone")).distinct(), "near-gone")
     bits = table_bits(gone.count(), MAX_BITS)
     place = F.pmod(F.xxhash64(F.col(id_col)), F.lit(bits))
-    words_ = gone.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("__mask"))
+    words_ = gone.select(F.pmod(F.xxhash64("__gone"), F.lit(bits)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, int(bit & 63))")).alias("__mask"))
     marked = df.withColumn("__bit", place).join(F.broadcast(stored(words_, "near-bits")), F.shiftright("__bit", 6) == F.col("__word"), "left")
     marked = marked.withColumn("__maybe", F.expr("coalesce(shiftright(__mask, int(__bit & 63)) & 1L, 0L) = 1"))
     sure = marked.where("not __maybe").select(*df.columns)
     left = marked.where("__maybe").select(*df.columns)
-    return sure.unionByName(left.join(gone, F.col(id_col) == F.col("id"), "left_anti"))
+    return sure.unionByName(left.join(gone, F.col(id_col) == F.col("__gone"), "left_anti"))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
