@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import heavy_limit, stored, weighted_join
 
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _least(rows: DataFrame, limit: int) -> DataFrame:
+    """Edges a, b with m, the smallest node in a's neighbourhood, a included. A node with very many edges is no task of its own."""
+    least = rows.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+    return weighted_join(rows, "a", least, "n", limit)
+
+
+def _large_star(edges: DataFrame, limit: int) -> DataFrame:
     """Links each node's larger neighbours to the smallest node of its neighbourhood."""
-    near = _both(edges)
-    least = near.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-    return near.join(least, F.col("a") == F.col("u")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _least(_both(edges), limit).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, limit: int) -> DataFrame:
     """Links each node and its smaller neighbours to the smallest of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-    moved = down.join(least, F.col("a") == F.col("u")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    met = _least(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), limit)
+    return met.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,5 +42,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or not state.n:
             break
         before = state
-        now = stored(_small_star(_large_star(now)).where("a <> b").distinct(), "edges")
+        limit = heavy_limit(2 * state.n)
+        now = stored(_small_star(_large_star(now, limit), limit).where("a <> b").distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

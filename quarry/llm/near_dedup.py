@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from .components import components
 from .exact_dedup import MAX_BITS, table_bits
-from .shared import documents, stored
+from .shared import documents, heavy_limit, stored, weighted_join
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
@@ -182,12 +182,17 @@ def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
     return near.join(ids, "id", "left_semi")
 
 
-def _stars(buckets: DataFrame, order) -> DataFrame:
-    """(a, b, na, nb) of each member of a bucket (bucket, rep, n, group) with the bucket's first and last member in the order, if their groups differ and sizes allow a link."""
+def _centres(rows: DataFrame, order) -> DataFrame:
+    """For each bucket of several groups (bucket, rep, n, group) their number m, and the first and the last in the order."""
     member = F.struct(order.alias("o"), "rep", "n", "group")
-    centres = buckets.groupBy("bucket").agg(F.min(member).alias("lo"), F.max(member).alias("hi")).where("lo.group <> hi.group or lo.rep <> hi.rep")
-    met = buckets.join(centres, "bucket").select("rep", "n", "group", F.explode(F.array("lo", "hi")).alias("c")).where("c.group <> group")
-    return met.select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b"), F.col("n").alias("n1"), F.col("c.n").alias("n2"))
+    return rows.groupBy("bucket").agg(F.count("*").alias("m"), F.min(member).alias("lo"), F.max(member).alias("hi"), F.min("group").alias("g1"), F.max("group").alias("g2")).where("m > 1 and g1 <> g2").drop("g1", "g2")
+
+
+def _pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of each member with its bucket's centres, if their groups differ and sizes allow a link."""
+    met = members.select("rep", "n", "group", F.explode(F.array("lo", "hi")).alias("c")).where("c.group <> group")
+    possible = (F.col("n") * 100 >= percent * F.col("c.n")) & (F.col("c.n") * 100 >= percent * F.col("n"))
+    return met.where(possible).select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).where("a <> b").distinct()
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, id_type: T.DataType, k: int, percent: int) -> DataFrame:
@@ -208,17 +213,17 @@ def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     usable = table.where("n > 0 and id is not null")
     classes = stored(usable.groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "near-classes")
     places = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    shared = places.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
-    buckets = stored(places.join(shared, "bucket", "left_semi"), "near-buckets")
-    possible = F.col("n1") * 100 >= percent * F.col("n2")
-    possible = possible & (F.col("n2") * 100 >= percent * F.col("n1"))
-
-    first = stored(_stars(buckets.withColumn("group", F.col("rep")), F.col("rep")).where(possible & (F.col("a") != F.col("b"))).select("a", "b").distinct(), "near-pairs")
+    places = places.withColumn("group", F.col("rep"))
+    centres = stored(_centres(places, F.col("rep")), "near-centres")
+    limit = heavy_limit(BANDS * classes.count())
+    members = stored(weighted_join(places, "bucket", centres, "m", limit), "near-members")
+    first = stored(_pairs(members, percent), "near-pairs")
     links = stored(_confirm(first, docs, id_type, words, percent), "near-links")
     labels = stored(components(links), "near-labels")
-    grouped = buckets.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("group"))
-    again = _stars(grouped, F.xxhash64("bucket", "rep")).where(possible & (F.col("a") != F.col("b"))).select("a", "b").distinct()
-    second = stored(again.join(first, ["a", "b"], "left_anti"), "near-pairs")
+    left = members.select("bucket", "rep", "n").join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("group"))
+    left = stored(left, "near-grouped")
+    apart = stored(_centres(left, F.xxhash64("bucket", "rep")), "near-centres")
+    second = stored(_pairs(weighted_join(left, "bucket", apart, "m", limit), percent).join(first, ["a", "b"], "left_anti"), "near-pairs")
     more = stored(_confirm(second, docs, id_type, words, percent), "near-links")
     if not more.isEmpty():
         labels = stored(components(links.union(more)), "near-labels")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -41,3 +42,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def weighted_join(rows: DataFrame, key: str, table: DataFrame, weight: str, limit: int) -> DataFrame:
+    """Inner join by a key that is unique in `table`, whose `weight` is the key's number of rows.
+
+    Keys beyond the limit are broadcast: there are fewer of them than the rows divided by the limit. So no task gets the rows of
+    one heavy key, and the others are joined by hash. Callers take a thousandth of the rows as limit, or a thousand.
+    """
+    own = table.withColumnRenamed(key, "__key")
+    heavy, light = own.where(F.col(weight) > limit), own.where(F.col(weight) <= limit)
+    on = F.col(key) == F.col("__key")
+    hot = rows.join(F.broadcast(heavy), on).drop("__key")
+    rest = rows.join(F.broadcast(heavy.select("__key")), on, "left_anti").join(light, on).drop("__key")
+    return hot.unionByName(rest)
+
+
+def heavy_limit(rows: int) -> int:
+    return max(1000, rows // 1000)
