@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import find_copies
 from .shared import documents, remove, scratch, stored
-from .token_files import Encoder, default_path, read_spec
+from .token_files import default_path, encoder_of, read_spec
 
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, documents long, tokens long"
@@ -105,7 +105,7 @@ def count_tokens(df: DataFrame, path: str, tokenizer: str, text_col: str = "text
     shared = df.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        encoder = encoder_of(shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)

@@ -21,7 +21,9 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,7 @@ CUT = re.compile(f"(?<=[^{_W}]) (?=[^{_W}])")
 class Encoder:
     """Texts to bytes of little-endian ids, by the tokenizers library."""
 
-    def __init__(self, spec: str, table: int = 200_000):
+    def __init__(self, spec: str, table: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -55,10 +57,11 @@ class Encoder:
         self.tokenizer.no_padding()
         self.special = [x["content"] for x in json.loads(spec)["added_tokens"]]
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size(True) <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
         self.table = Bounded(self._one, table)
 
     def _one(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         text = text or ""
@@ -75,6 +78,12 @@ class Encoder:
         return b"".join(out)
 
 
+@lru_cache(maxsize=2)
+def encoder_of(spec: str) -> Encoder:
+    """A worker's encoder, kept with its table from task to task."""
+    return Encoder(spec)
+
+
 def _schema(kind: np.dtype, length: int) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))])
 
@@ -191,7 +200,7 @@ def write_tokens(df: DataFrame, uri: str, path: str, id_col: str = "doc_id", tex
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = Encoder(shared.value)
+        encoder = encoder_of(shared.value)
         last, task, out, n = np.array([end], encoder.kind).tobytes(), TaskContext.get(), None, 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
