@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .shared import documents
 
 #: Entries of each table of pieces already encoded or decoded.
-TABLE = 150_000
+TABLE = 300_000
 #: Symbols read between two searches for stable tokens, and pieces handled at once.
 BLOCK = 256
 PIECES = 8192
