@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 #: White space as Python's str counts it, spelled for Java and RE2 alike.
 SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+#: White space other than the blank.
+WIDE_SPACE = SPACE.replace(r"\x{1c}-\x{20}", r"\x{1c}-\x{1f}")
+
 # Tags that are taken out, text between them stays.
 TAGS = "p|div|span|a|b|strong|em|i|u|ul|ol|li|table|thead|tbody|tfoot|tr|td|th|font|h[1-6]|hr|img|sub|sup|section|article|center"
 BREAK_TAG = r"(?i)<br(\s[^>]*)?/?>"
@@ -37,8 +40,13 @@ def strip(c: Column | str) -> Column:
 
 
 def squeeze(c: Column | str) -> Column:
-    """One blank for each run of white space, none at the ends; null is empty."""
-    return F.regexp_replace(F.regexp_replace(F.coalesce(_col(c), F.lit("")), rf"{SPACE}+", " "), "^ | $", "")
+    """One blank for each run of white space, none at the ends; null is empty. Single blanks between words are left as they are."""
+    return F.regexp_replace(F.regexp_replace(F.coalesce(_col(c), F.lit("")), rf"{SPACE}{{2,}}|{WIDE_SPACE}", " "), "^ | $", "")
+
+
+def blank(c: Column | str) -> Column:
+    """Whether a text is null or white space alone; the search ends at the first other character."""
+    return F.coalesce(~F.regexp_like(_col(c), F.lit(SPACE.replace("[", "[^", 1))), F.lit(True))
 
 
 def unescape(c: Column | str, rounds: int = 3) -> Column:

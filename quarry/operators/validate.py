@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,18 @@ def ledger(df: DataFrame, reason: str, duplicate: str, by: Sequence[str] = ()) -
     return out.withColumn("closes", F.col("kept") + F.col("duplicates") + F.col("rejects") == F.col("rows_in"))
 
 
+def ledger_by_key(df: DataFrame, reason: str, key: str, seq: str, by: Sequence[str] = ()) -> DataFrame:
+    """The ledger of rows whose duplicates are told by key: the first of a key, by `seq`, is kept. Rows are read once and
+    counted by key before anything else; what is compared then are groups, of which a key has as many as `by` has values."""
+    groups = df.groupBy(*by, F.col(reason).isNull().alias("__good"), F.col(key).alias("__key")).agg(F.count("*").alias("__n"), F.min(seq).alias("__min"))
+    first = F.min("__min").over(Window.partitionBy("__key", "__good"))
+    kept = F.when(F.col("__good") & (F.col("__min") == F.col("__first")), 1).otherwise(0)
+    groups = groups.withColumn("__first", first).withColumn("__kept", kept)
+    good = F.when(F.col("__good"), F.col("__n")).otherwise(0)
+    out = groups.groupBy(*by).agg(F.sum("__n").alias("rows_in"), F.sum("__kept").alias("kept"), F.sum(good - F.col("__kept")).alias("duplicates"), F.sum(F.when(F.col("__good"), 0).otherwise(F.col("__n"))).alias("rejects"))
+    return out.withColumn("closes", F.col("kept") + F.col("duplicates") + F.col("rejects") == F.col("rows_in"))
+
+
 def column_problems(df: DataFrame, required: Sequence[str], filename: str = "") -> list[str]:
     """What is wrong with a table's header: empty, repeated or missing names."""
     names = [c.strip() for c in df.columns]

@@ -55,14 +55,14 @@ def normalize_whitespace(spark, sf):
 
 def _reason():
     return validate.first_reason([
-        ("empty_text", tx.strip("text") == ""),
+        ("empty_text", tx.blank("text")),
         ("too_short", F.length("text") < 40),
         ("no_letters", ~F.regexp_like("text", F.lit("[a-zA-Z]"))),
         ("unknown_lang", ~F.coalesce(F.col("lang").isin("en", "de", "fr", "es"), F.lit(False))),
     ])
 
 
-_REASON = f"""case when regexp_replace(text, '^{SPACE}+|{SPACE}+$', '', 'g') = '' then 'empty_text' when length(text) < 40 then 'too_short'
+_REASON = f"""case when regexp_replace(coalesce(text, ''), '^{SPACE}+|{SPACE}+$', '', 'g') = '' then 'empty_text' when length(text) < 40 then 'too_short'
     when not regexp_matches(text, '[a-zA-Z]') then 'no_letters' when lang is null or lang not in ('en', 'de', 'fr', 'es') then 'unknown_lang' end"""
 
 
@@ -119,21 +119,18 @@ select @by count(*) as rows_in, count(*) filter (reason is null and not dup) as
 
 
 def _tagged(spark, sf) -> DataFrame:
-    docs = table(spark, sf, "documents").select("lang", "doc_id", _reason().alias("reason"), F.md5(tx.squeeze("text")).alias("key"))
-    first = docs.where("reason is null").groupBy("key").agg(F.min("doc_id").alias("first"))
-    joined = docs.join(first, "key", "left")
-    return joined.withColumn("dup", F.col("reason").isNull() & (F.col("doc_id") != F.col("first")))
+    return table(spark, sf, "documents").select("lang", "doc_id", _reason().alias("reason"), F.md5(tx.squeeze("text")).alias("key"))
 
 
 @query(_LEDGER.replace("@by", "lang,").replace("@group", "group by lang"))
 def clean_dedup_ledger(spark, sf):
     """Validated, cleaned and deduplicated documents, accounted for by language."""
-    return validate.ledger(_tagged(spark, sf), "reason", "dup", ["lang"])
+    return validate.ledger_by_key(_tagged(spark, sf), "reason", "key", "doc_id", ["lang"])
 
 
 @query(_LEDGER.replace("@by", "").replace("@group", ""))
 def ledger_closure(spark, sf):
-    return validate.ledger(_tagged(spark, sf), "reason", "dup")
+    return validate.ledger_by_key(_tagged(spark, sf), "reason", "key", "doc_id")
 
 
 @query("""with c as (select o.*, l.quality, l.toxic from documents o left join labels l on o.doc_id = l.doc_id), n as (select count(*) as total, count(*) filter (trim(text) = '' or text is null) as e1, count(*) filter (quality is null) as e2, count(*) filter (toxic is null) as e3, count(*) filter (lang is null or trim(lang) = '') as e4 from c),
