@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import dedup, profile, unify, validate
-from .base import register, table
+from .base import register, spread, table
 
 SPACE = tx.SPACE
 
@@ -37,12 +37,12 @@ def _squeeze_sql(c: str) -> str:
 @query(f"select page_id, md5({_clean_sql('html')}) as digest, length({_clean_sql('html')})::int as n from pages")
 def clean_html_text(spark, sf):
     text = tx.clean("html")
-    return table(spark, sf, "pages").select("page_id", F.md5(text).alias("digest"), F.length(text).alias("n"))
+    return spread(table(spark, sf, "pages")).select("page_id", F.md5(text).alias("digest"), F.length(text).alias("n"))
 
 
 @query(f"select doc_id, md5({_squeeze_sql('text')}) as digest, length({_squeeze_sql('text')})::int as n from documents")
 def squeeze_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(tx.squeeze("text")).alias("digest"), F.length(tx.squeeze("text")).alias("n"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.md5(tx.squeeze("text")).alias("digest"), F.length(tx.squeeze("text")).alias("n"))
 
 
 _LINES = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '[ \t\f\x0b]+', ' ', 'g'), '(?m)^ | $', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
@@ -50,7 +50,7 @@ _LINES = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_re
 
 @query(f"select doc_id, md5({_LINES}) as digest from documents")
 def normalize_whitespace(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(tx.lines_normal("text")).alias("digest"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.md5(tx.lines_normal("text")).alias("digest"))
 
 
 def _reason():
@@ -68,7 +68,7 @@ _REASON = f"""case when regexp_replace(coalesce(text, ''), '^{SPACE}+|{SPACE}+$'
 
 @query(f"select coalesce(reason, 'ok') as reason, count(*) as n, min(doc_id) as first_doc from (select doc_id, {_REASON} as reason from documents) group by 1")
 def reject_cascade(spark, sf):
-    tagged = table(spark, sf, "documents").select("doc_id", _reason().alias("reason"))
+    tagged = spread(table(spark, sf, "documents")).select("doc_id", _reason().alias("reason"))
     return tagged.groupBy(F.coalesce("reason", F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
@@ -119,7 +119,7 @@ select @by count(*) as rows_in, count(*) filter (reason is null and not dup) as
 
 
 def _tagged(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("lang", "doc_id", _reason().alias("reason"), F.md5(tx.squeeze("text")).alias("key"))
+    return spread(table(spark, sf, "documents")).select("lang", "doc_id", _reason().alias("reason"), F.md5(tx.squeeze("text")).alias("key"))
 
 
 @query(_LEDGER.replace("@by", "lang,").replace("@group", "group by lang"))
@@ -155,12 +155,12 @@ def extremes_argmax(spark, sf):
 
 @query(" union all ".join(f"select '{k}' as kind, count(*) filter (regexp_matches(html, '{p}')) as rows, coalesce(sum(len(regexp_extract_all(html, '{p}'))), 0)::bigint as hits from pages" for k, p in profile.RESIDUE.items()))
 def residue_audit(spark, sf):
-    return profile.residue(table(spark, sf, "pages"), "html")
+    return profile.residue(spread(table(spark, sf, "pages")), "html")
 
 
 @query(f"select item, count(*) as count from (select unnest(regexp_extract_all(html, '{profile.RESIDUE['tag']}')) as item from pages) group by 1 order by count desc, item limit 25")
 def residue_top_tags(spark, sf):
-    return profile.residue_items(table(spark, sf, "pages"), "html", "tag")
+    return profile.residue_items(spread(table(spark, sf, "pages")), "html", "tag")
 
 
 @query("with p as (select p_brand, p_type, count(*) as n from part group by all) select p_brand, count(*) as texts, sum(n)::bigint as rows, array_to_string(list_sort(list(p_type))[1:5], ';') as examples from p group by p_brand")

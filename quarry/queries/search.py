@@ -13,7 +13,7 @@ from ..plans import hops, retrieval
 from ..plans.variants import LAYERED
 from ..sources import sinks
 from ..streaming import streams
-from .base import register, table
+from .base import register, spread, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -89,7 +89,7 @@ def history_window(spark, sf):
 
 @query()
 def chunk_documents(spark, sf):
-    return chunk.chunk_documents(table(spark, sf, "documents"), "doc_id", "text").select("chunk_id", "doc_id", "chunk_no", "chunk_count", "title", F.md5("content").alias("digest"))
+    return chunk.chunk_documents(spread(table(spark, sf, "documents")), "doc_id", "text").select("chunk_id", "doc_id", "chunk_no", "chunk_count", "title", F.md5("content").alias("digest"))
 
 
 _CUT = f"list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([{chunk.SENTENCE_END}])', '\\1' || chr(1), 'g'), chr(1)), lambda x: regexp_replace(x, '^{tx.SPACE}+|{tx.SPACE}+$', '', 'g')), lambda x: x <> '')"
@@ -97,7 +97,7 @@ _CUT = f"list_filter(list_transform(string_split(regexp_replace(coalesce(text, '
 
 @query(f"with s as (select doc_id, {_CUT} as s from documents) select doc_id, n::int - 1 as n, md5(s[n]) as sentence from s, unnest(range(1, len(s) + 1)) as u(n)")
 def sentence_units(spark, sf):
-    return chunk.sentences(table(spark, sf, "documents"), "doc_id", "text").withColumn("sentence", F.md5("sentence"))
+    return chunk.sentences(spread(table(spark, sf, "documents")), "doc_id", "text").withColumn("sentence", F.md5("sentence"))
 
 
 @query("select doc_id, source from (select *, row_number() over (partition by source order by md5(doc_id || '|42'), doc_id) as r from documents) where r <= 10")
@@ -145,14 +145,14 @@ f as (select *, case when both_n = 0 then 1.0 when np = 0 or nq = 0 then 0.0 els
 
 @query(_SCORED + " select test_id, em, answered, round(f1, 6) as f1 from f")
 def em_f1_score(spark, sf):
-    return score.score_answers(*_answers(spark, sf), ascii_only=True).select("test_id", "em", "answered", F.round("f1", 6).alias("f1"))
+    return score.score_answers(*map(spread, _answers(spark, sf)), ascii_only=True).select("test_id", "em", "answered", F.round("f1", 6).alias("f1"))
 
 
 @query(_SCORED + """ select dataset, answer_type, count(*) as n, count(*) filter (answered) as answered, count(*) filter (refused) as refused, round(avg(em), 6) as em, round(avg(f1), 6) as f1,
  case when grouping(dataset) = 1 and grouping(answer_type) = 1 then 'all' when grouping(answer_type) = 1 then 'dataset' when grouping(dataset) = 1 then 'answer_type' else 'dataset+answer_type' end as level
 from f group by grouping sets ((), (dataset), (answer_type), (dataset, answer_type))""")
 def score_grouping_sets(spark, sf):
-    return score.summarise(score.score_answers(*_answers(spark, sf), ascii_only=True))
+    return score.summarise(score.score_answers(*map(spread, _answers(spark, sf)), ascii_only=True))
 
 
 @query("""with u as (select turn % 5 as block, substr(text, 1, 3) as norm, conv_id * 100 + turn as seq from conversations where role = 'user'), b as (select turn % 5 as block, substr(text, 1, 3) as norm, conv_id * 100 + turn as seq from conversations where role = 'assistant'),
@@ -188,7 +188,7 @@ _FIELDS = {"license": ("licen[sc]ed", "rights reserved"), "contact": ("@", "\\(5
 
 @query("select field, count(*) as n from (select case when regexp_matches(text, 'licen[sc]ed|rights reserved') then 'license' when regexp_matches(text, '@|\\(555\\)') then 'contact' when regexp_matches(text, 'token|password') then 'secret' else 'other' end as field from documents) group by 1")
 def source_field_rules(spark, sf):
-    return table(spark, sf, "documents").groupBy(propositions.source_field(F.col("text"), _FIELDS).alias("field")).agg(F.count("*").alias("n"))
+    return spread(table(spark, sf, "documents")).groupBy(propositions.source_field(F.col("text"), _FIELDS).alias("field")).agg(F.count("*").alias("n"))
 
 
 @query("select coalesce(nullif(source, ''), '(空)') as topic, count(*) as n from documents group by 1 order by n desc, topic limit 20")
@@ -234,7 +234,7 @@ def set_operations(spark, sf):
 
 @query()
 def canonical_nfkc(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(tx.canonical("text")).alias("digest"))
+    return spread(table(spark, sf, "documents")).select("doc_id", F.md5(tx.canonical("text")).alias("digest"))
 
 
 @query()
