@@ -101,14 +101,14 @@ class Transducer:
         return token[: -len(self.suffix)] if self.suffix and token.endswith(self.suffix) and token != self.suffix else token
 
     def _by_ending(self, final: bool) -> tuple[dict[str, int], dict[str, list[int]]]:
-        """Tokens that stand inside a word, or at its end; and by the last two symbols the lengths there are, longest first."""
+        """Tokens that stand inside a word, or at its end; and by the last three symbols the lengths there are, longest first."""
         tokens = {}
         for t, k in self.number.items():
             if bool(self.suffix and t.endswith(self.suffix) and t != self.suffix) == final and (k < self.base or self._proper(k)):
                 tokens[self._symbols(t)] = k
         lengths: dict[str, set[int]] = {}
         for t in tokens:
-            lengths.setdefault(t[-2:], {1}).add(len(t))
+            lengths.setdefault(t[-3:], {1, 2}).add(len(t))
         return tokens, {e: sorted(n, reverse=True) for e, n in lengths.items()}
 
     def _proper(self, k: int) -> bool:
@@ -145,7 +145,7 @@ class Transducer:
         """The token that ends the encoding of text[:n], put into `last` with its length; what it needs of shorter prefixes is found first."""
         tokens, lengths = self.final if final else self.inner
         fits = self.fits
-        for w in lengths.get(text[n - 2 : n] if n > 1 else text[:1], (1,)):
+        for w in lengths.get(text[n - 3 : n] if n > 3 else text[:n], (2, 1)):
             if w <= n:
                 t = tokens.get(text[n - w : n])
                 if t is not None:
