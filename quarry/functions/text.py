@@ -177,8 +177,8 @@ def display_name(law: Column | str, article: Column | str) -> Column:
 
 
 def required_label(c: Column | str) -> Column:
-    """The mark of a value that says no."""
-    return F.when(squeeze(c).isin("否", "非必要", "不需要", "0", "false", "no"), "（非必要）").otherwise("")
+    """The mark of a requirement: values that say no, and all others."""
+    return F.when(strip(F.coalesce(_col(c), F.lit(""))).isin("否", "非必要", "非必需", "false", "False", "FALSE", "0", "no", "No"), "（非必要）").otherwise("（必要）")
 
 
 def iso_seconds(c: Column | str) -> Column:
