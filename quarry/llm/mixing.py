@@ -32,7 +32,7 @@ SEED = 20
 #: Words that dynamic programming fits at the end; larger budgets are first filled down to it.
 BUDGET = 1 << 15
 #: Rows in a range of hashes, on average.
-RANGE = 1000
+RANGE = 200
 #: Plans of up to so many rows are broadcast.
 SMALL_PLAN = 200_000
 
