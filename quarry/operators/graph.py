@@ -67,15 +67,14 @@ def rewrite_edges(edges: DataFrame, column: str, mapping: DataFrame, keep: str |
 def citations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """rows: seq, law, doc, article, content. (citations, bases) by canonical law, document and article: first values win, conflicts with the first are counted.
 
-    A missing document number falls back to the law. First values are min_by of a group and spread by a join, so that a law that
-    much is cited needs no window of its own.
+    A missing document number falls back to the law. Rows are counted by citation and text first, so that a law that is much
+    cited is a few groups; conflicts are the rows whose text is not the first row's.
     """
     keyed = rows.select("seq", "law", "article", "content", F.coalesce(F.nullif("doc", F.lit("")), F.col("law")).alias("doc_key"), (F.coalesce("doc", F.lit("")) == "").alias("fallback"))
     keyed = keyed.withColumn("basis_id", ids.hashed_id("LB", "law", "doc_key", length=16)).withColumn("citation_id", ids.hashed_id("LC", "law", "doc_key", "article", length=16)).withColumn("digest", F.md5(F.coalesce("content", F.lit(""))))
-    firsts = keyed.groupBy("citation_id").agg(F.min_by(F.struct("basis_id", "law", "article", "digest"), "seq").alias("f"), F.count("*").alias("sources"))
-    digests = keyed.groupBy("citation_id", "digest").count().join(firsts, "citation_id")
-    conflicts = digests.groupBy("citation_id").agg(F.sum(F.when(F.col("digest") != F.col("f.digest"), F.col("count")).otherwise(0)).alias("conflicts"), F.first("f").alias("f"), F.first("sources").alias("sources"))
-    cited = conflicts.select("citation_id", "f.basis_id", display_name("f.law", "f.article").alias("name"), "sources", "conflicts")
+    digests = keyed.groupBy("citation_id", "digest").agg(F.count("*").alias("n"), F.min(F.struct("seq", "basis_id", "law", "article")).alias("first"))
+    cited = digests.groupBy("citation_id").agg(F.sum("n").alias("sources"), F.min(F.struct("first", "n")).alias("f"))
+    cited = cited.select("citation_id", F.col("f.first.basis_id").alias("basis_id"), display_name("f.first.law", "f.first.article").alias("name"), "sources", (F.col("sources") - F.col("f.n")).alias("conflicts"))
     bases = keyed.groupBy("basis_id").agg(F.min_by("law", "seq").alias("law"), F.min_by("doc_key", "seq").alias("doc_no"), F.count("*").alias("sources"), F.count_if("fallback").alias("fallbacks"))
     return cited, bases
 
