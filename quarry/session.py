@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+ROOT = Path(__file__).resolve().parents[1]
+_SHIPPED: set[str] = set()
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,3 +29,18 @@ def session(master: str = "local[8]", shuffle_partitions: int = 8, driver_memory
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to Python workers that would not find it: once for an application, and only if neither the working folder
+    nor PYTHONPATH is the repository."""
+    context = spark.sparkContext
+    known = [Path.cwd(), *(Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
+    if context.applicationId in _SHIPPED or any(p.resolve() == ROOT for p in known):
+        return
+    path = Path(tempfile.mkdtemp(prefix="quarry-")) / "quarry.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted((ROOT / "quarry").rglob("*.py")):
+            out.write(f, f.relative_to(ROOT))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
