@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import heavy_limit, stored, weighted_join
+from .shared import discard, heavy_limit, stored, weighted_join
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -43,5 +43,6 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
         limit = heavy_limit(2 * state.n)
-        now = stored(_small_star(_large_star(now, limit), limit).where("a <> b").distinct(), "edges")
+        old, now = now, stored(_small_star(_large_star(now, limit), limit).where("a <> b").distinct(), "edges")
+        discard(old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from .components import components
 from .exact_dedup import MAX_BITS, table_bits
-from .shared import documents, heavy_limit, stored, weighted_join
+from .shared import discard, documents, heavy_limit, stored, weighted_join
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
@@ -202,7 +202,9 @@ def _confirm(pairs: DataFrame, docs: DataFrame, id_type: T.DataType, k: int, per
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("__n1"), F.col("shingles").alias("__s1"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("__n2"), F.col("shingles").alias("__s2"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("__common", F.size(F.array_intersect("__s1", "__s2")))
-    return both.where(F.col("__common") * 100 >= percent * (F.col("__n1") + F.col("__n2") - F.col("__common"))).select("a", "b")
+    links = stored(both.where(F.col("__common") * 100 >= percent * (F.col("__n1") + F.col("__n2") - F.col("__common"))).select("a", "b"), "near-links")
+    discard(sets, ids)
+    return links
 
 
 def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -218,15 +220,16 @@ def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     limit = heavy_limit(BANDS * classes.count())
     members = stored(weighted_join(places, "bucket", centres, "m", limit), "near-members")
     first = stored(_pairs(members, percent), "near-pairs")
-    links = stored(_confirm(first, docs, id_type, words, percent), "near-links")
+    links = _confirm(first, docs, id_type, words, percent)
     labels = stored(components(links), "near-labels")
     left = members.select("bucket", "rep", "n").join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("group"))
     left = stored(left, "near-grouped")
     apart = stored(_centres(left, F.xxhash64("bucket", "rep")), "near-centres")
     second = stored(_pairs(weighted_join(left, "bucket", apart, "m", limit), percent).join(first, ["a", "b"], "left_anti"), "near-pairs")
-    more = stored(_confirm(second, docs, id_type, words, percent), "near-links")
+    more = _confirm(second, docs, id_type, words, percent)
     if not more.isEmpty():
         labels = stored(components(links.union(more)), "near-labels")
+    discard(centres, members, left, apart, first, second, links, more)
     of_class = classes.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     found = usable.select("id", "n", "key").join(of_class, "key").select("id", "n", "component")
     rest = table.where("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component"))

@@ -37,7 +37,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written as a Parquet table in the shared folder and read again: a lost executor loses nothing of it."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.quarry_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing will read any more: what was made of them is stored itself."""
+    for table in tables:
+        remove(table.sparkSession, table.quarry_path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
