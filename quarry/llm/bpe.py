@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .shared import documents
 
 #: Entries of each table of pieces already encoded or decoded.
-TABLE = 300_000
+TABLE = 160_000
 #: Symbols read between two searches for stable tokens, and pieces handled at once.
 BLOCK = 256
 PIECES = 8192
@@ -91,7 +91,7 @@ class Transducer:
                 self.split[t] = (number[a], number[b])
             self.pair.setdefault((number[a], number[b]), t)
         self.inner, self.final = self._by_ending(False), self._by_ending(True) if suffix else None
-        self.fits = Bounded(lambda ab: self.follows(*ab), 2 * TABLE)
+        self.fits = Bounded(lambda ab: self.follows(ab >> 20, ab & 0xFFFFF), TABLE // 2)
         spelled = [len(self._symbols(t)) for t in number]
         self.longest = max(spelled, default=1)
         self.lookahead = max(1, len(merges)) * self.longest
@@ -152,7 +152,7 @@ class Transducer:
                     before = last[n - w]
                     if before is None:
                         before = self._last(text, n - w, last, size)
-                    if before < 0 or fits[before, t]:
+                    if before < 0 or fits[before << 20 | t]:
                         break
         last[n], size[n] = t, w
         return t
@@ -229,19 +229,28 @@ class Codec:
             raise ValueError("only tokenizers whose pre-tokens hold no white space are read")
         self.pattern = regex.compile(pre["pattern"]["Regex"])
         self.borders = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words = Bounded(self._word)
         self.pieces = Bounded(self._piece)
         self.byte = {c: b for b, c in enumerate(self.letters)}
 
-    def _word(self, word: str) -> str:
+    def _word(self, word: str) -> tuple[str, str]:
+        """The ids of a pre-token in decimal, and what they decode to."""
         letters = self.letters
-        return " ".join(map(str, self.transducer.encode("".join([letters[b] for b in word.encode("utf-8", "replace")]))))
+        ids = self.transducer.encode("".join([letters[b] for b in word.encode("utf-8", "replace")]))
+        return " ".join(map(str, ids)), Decoder(self).text(ids)
 
     def _piece(self, piece: str) -> tuple[str, str]:
-        """The ids of a piece in decimal, and what they decode to."""
-        words = self.words
-        ids = " ".join([words[w] if len(w) <= BLOCK else self._word(w) for w in self.pattern.findall(piece)])
-        return ids, Decoder(self).text(map(int, ids.split(" ")))
+        """The same of what stands between white space: pre-tokens are pieces too and are looked up as such."""
+        if piece.isalpha():  # letters alone are one pre-token
+            return self._word(piece)
+        if piece[-1] in ".," and piece[:-1].isalpha():
+            found = [piece[:-1], piece[-1]]
+        else:
+            found = self.pattern.findall(piece)
+            if len(found) == 1:
+                return self._word(piece)
+        pieces = self.pieces
+        ids, texts = zip(*[pieces[w] if len(w) <= BLOCK else self._word(w) for w in found])
+        return " ".join(ids), " ".join(texts)
 
     def normalise(self, text: str) -> str:
         if not text.isascii():
@@ -279,8 +288,12 @@ class Decoder:
     """
 
     def __init__(self, codec: Codec):
-        self.codec, self.begun = codec, False
-        self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
+        self.codec, self.begun, self._utf8 = codec, False, None
+
+    @property
+    def utf8(self):
+        self._utf8 = self._utf8 or codecs.getincrementaldecoder("utf-8")("replace")
+        return self._utf8
 
     def text(self, ids: Iterable[int]) -> str:
         token = self.codec.token
