@@ -58,7 +58,12 @@ class Encoder:
         self.special = [x["content"] for x in json.loads(spec)["added_tokens"]]
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size(True) <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
-        self.table = Bounded(self._one, table)
+        self.table = Bounded(self._piece, table)
+
+    def _piece(self, piece: str) -> bytes:
+        if len(piece) > 2 and piece[-1] in ".," and piece[1:-1].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+            return self.table[piece[:-1]] + self.table[piece[-1]]  # a mark behind a word is a pre-token of its own
+        return self._one(piece)
 
     def _one(self, piece: str) -> bytes:
         return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
