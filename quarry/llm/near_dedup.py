@@ -8,8 +8,11 @@ Texts with equal sets are one class, so that copies never meet in pairs. Within
 paired with the bucket's first and last class alone: a bucket of m classes gives fewer than 2 m pairs. Pairs
 whose sizes rule the similarity out are dropped, which loses nothing; the others are confirmed on full sets.
 A second round pairs what the first left apart: classes of a bucket that lie in different components, with
-another choice of centres. With 32 bands of 5 bins, two texts of similarity 0.8 share no bucket with a
-probability of 3 in a million, and about ten buckets on average.
+another choice of centres. What is still apart in a bucket then is paired in full: every member outside the
+bucket's largest group with every member of another group, in tiles, so that no possible pair of a bucket stays
+untested. These pairs are confirmed in slices of bounded size, and pairs that a slice has linked are dropped.
+With 32 bands of 5 bins, two texts of similarity 0.8 share no bucket with a probability of 3 in a million, and
+about ten buckets on average; this is the only loss.
 
 Only candidates' texts are read again for confirmation; a bit table of bounded size keeps others out of the
 shuffle.
@@ -37,6 +40,8 @@ BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Bytes of text hashed at once.
 BLOCK = 1 << 20
+#: Rows on either side of a tile, on average. Pairs confirmed at once: for each class, and at least.
+TILE, SLICE, LEAST = 256, 0.5, 20_000
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -195,6 +200,28 @@ def _pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.where(possible).select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).where("a <> b").distinct()
 
 
+def _apart(rows: DataFrame, percent: int, limit: int) -> DataFrame:
+    """(a, b) of all members of a bucket (bucket, rep, n, group) in different groups whose sizes allow a link. Buckets of up to three members have met their centres."""
+    groups = rows.groupBy("bucket", "group").agg(F.count("*").alias("c"))
+    split = groups.groupBy("bucket").agg(F.sum("c").alias("m"), F.count("*").alias("groups"), F.max(F.struct("c", "group")).alias("top")).where("m > 3 and groups > 1")
+    split = stored(split.select("bucket", "m", F.col("top.c").alias("c"), F.col("top.group").alias("top")), "near-split")
+    tiles = lambda n: F.ceil(n / TILE).cast("int")
+    own = weighted_join(rows, "bucket", split, "m", limit).withColumn("__all", tiles(F.col("m"))).withColumn("__few", tiles(F.col("m") - F.col("c")))
+    place = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    few = own.where("group <> top").select("bucket", F.col("rep").alias("x"), F.col("n").alias("n1"), F.col("group").alias("g1"), place("__few").alias("i"), F.explode(F.expr("sequence(0, __all - 1)")).alias("j"))
+    others = own.select("bucket", F.col("rep").alias("y"), F.col("n").alias("n2"), F.col("group").alias("g2"), place("__all").alias("j"), F.explode(F.expr("sequence(0, __few - 1)")).alias("i"))
+    possible = (F.col("n1") * 100 >= percent * F.col("n2")) & (F.col("n2") * 100 >= percent * F.col("n1"))
+    return few.join(others, ["bucket", "i", "j"]).where(possible & (F.col("g1") != F.col("g2"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _ungrouped(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those pairs (a, b) whose components differ."""
+    ends = pairs
+    for end, name in (("a", "__g1"), ("b", "__g2")):
+        ends = ends.join(labels.select(F.col("node").alias(end), F.col("component").alias(name)), end, "left")
+    return ends.where(F.coalesce("__g1", "a") != F.coalesce("__g2", "b")).select("a", "b")
+
+
 def _confirm(pairs: DataFrame, docs: DataFrame, id_type: T.DataType, k: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of which the sets' intersection is `percent` of their union or more."""
     ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "near-ids")
@@ -222,14 +249,29 @@ def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     first = stored(_pairs(members, percent), "near-pairs")
     links = _confirm(first, docs, id_type, words, percent)
     labels = stored(components(links), "near-labels")
-    left = members.select("bucket", "rep", "n").join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("group"))
-    left = stored(left, "near-grouped")
+    grouped = lambda: members.select("bucket", "rep", "n").join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("group"))
+    joined = lambda more: stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "near-labels")
+    left = stored(grouped(), "near-grouped")
     apart = stored(_centres(left, F.xxhash64("bucket", "rep")), "near-centres")
     second = stored(_pairs(weighted_join(left, "bucket", apart, "m", limit), percent).join(first, ["a", "b"], "left_anti"), "near-pairs")
     more = _confirm(second, docs, id_type, words, percent)
     if not more.isEmpty():
-        labels = stored(components(links.union(more)), "near-labels")
+        labels = joined(more)
+    discard(left)
+    left = stored(grouped(), "near-grouped")
+    rest = stored(_apart(left, percent, limit).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "near-rest")
     discard(centres, members, left, apart, first, second, links, more)
+    once, turn = max(LEAST, int(SLICE * classes.count())), 0
+    while n := rest.count():
+        turn += 1
+        slices = -(-n // once)
+        now = F.pmod(F.xxhash64("a", "b", F.lit(turn)), F.lit(slices)) == 0
+        more = _confirm(rest.where(now), docs, id_type, words, percent)
+        if not more.isEmpty():
+            labels = joined(more)
+        old, rest = rest, stored(_ungrouped(rest.where(~now), labels), "near-rest")
+        discard(old, more)
+    discard(rest)
     of_class = classes.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     found = usable.select("id", "n", "key").join(of_class, "key").select("id", "n", "component")
     rest = table.where("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component"))

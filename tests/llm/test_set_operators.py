@@ -110,6 +110,23 @@ def test_large_group_of_near_copies(spark):
     assert [r.component_id for r in got] == [0]
 
 
+@pytest.mark.parametrize("at_once", [20_000, 4_000])
+def test_variants_of_one_template(spark, monkeypatch, at_once):
+    monkeypatch.setattr(near_dedup, "LEAST", at_once)
+    monkeypatch.setattr(near_dedup, "SLICE", 0)
+    monkeypatch.setattr(near_dedup, "TILE", 16)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(300):
+        text = list(base)
+        for place in rng.sample(range(200), rng.randrange(6, 11)):
+            text[place] = f"x{rng.randrange(3)}"
+        rows.append((k, " ".join(text)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.find_near(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()}
+    assert got == brute_components(rows, 2)
+
+
 def test_components_of_a_long_chain(spark):
     order = list(range(200))
     random.Random(1).shuffle(order)
