@@ -182,6 +182,15 @@ def test_license_scan(spark, odd):
     assert license_scan.scan(odd).count() == len(ODD) and license_scan.scan(odd.limit(0)).count() == 0
 
 
+def test_license_spans(spark):
+    name = "licensed under a Creative Commons Attribution{} 4.0 International License"
+    texts = [f"x y {name.format(m)} z" for m in ("", "-ShareAlike", "-NonCommercial", "-NoDerivatives", "-NonCommercial-ShareAlike")]
+    texts += ["a " + name.format("").replace("under a", "under a new"), "see the MIT License", "all rights all rights all rights", name.format("-NonCommercial") + " b " * 30 + name.format("")]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[k]["labels"] for k in range(9)] == ["cc-by", "cc-by-sa", "cc-by-nc", "", "", "cc-by", "mit", "", "cc-by,cc-by-nc"]
+    assert [[tuple(s) for s in got[k].spans] for k in (0, 2, 3, 5, 6, 8)] == [[("cc-by", 2, 12)], [("cc-by-nc", 2, 13)], [], [("cc-by", 1, 12)], [("mit", 2, 4)], [("cc-by", 41, 51), ("cc-by-nc", 0, 11)]]
+
+
 def test_rollup(spark):
     rollup = token_counts.Rollup(spark, scratch(spark, "test-rollup"))
     change = lambda *rows: spark.createDataFrame(rows, "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long")
