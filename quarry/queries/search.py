@@ -245,9 +245,8 @@ def byte_shards(spark, sf):
 
 @query()
 def proposition_parse(spark, sf):
-    """Replies made of a document's first sentences; every fifth is no JSON."""
-    first = F.slice(F.split("text", r"(?<=\.)\s"), 1, 4)
-    items = F.transform(first, lambda s, k: F.struct(F.when(k == 0, "资格要求").when(k == 1, "unknown").otherwise("其他").alias("predicate"), s.alias("statement"), F.lit("x").alias("objectValue"), F.when(k == 0, "时间限制").otherwise("odd").alias("conditionType")))
+    """Replies made of all sentences of a document; every fifth is no JSON."""
+    items = F.transform(F.split("text", r"(?<=\.)\s"), lambda s, k: F.struct(F.when(k == 0, "资格要求").when(k == 1, "unknown").otherwise("其他").alias("predicate"), s.alias("statement"), F.lit("x").alias("objectValue"), F.when(k == 0, "时间限制").otherwise("odd").alias("conditionType")))
     reply = F.when(F.col("doc_id") % 5 == 0, "no list").otherwise(F.concat(F.lit("```json\n"), F.to_json(items), F.lit("\n```")))
     replies = table(spark, sf, "documents").select("doc_id", reply.alias("reply"), F.when(F.col("doc_id") % 2 == 0, "condition").otherwise("process").alias("field"))
     return propositions.parse(replies, "doc_id", "reply", "field")[1]

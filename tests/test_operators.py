@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import adapt, chunk, dedup, graph, propositions, sample, score, state, unify, validate, vector
+from quarry.queries import search
 
 
 def test_json_cascade(spark):
@@ -130,6 +131,13 @@ def test_propositions(spark):
     assert [r.f for r in fields.select(propositions.source_field(F.col("c")).alias("f")).collect()] == ["condition", "fee", "other"]
 
 
+def test_propositions_of_whole_texts(spark, tmp_path):
+    text = " ".join(f"Sentence number {k % 7} stands here." for k in range(12))
+    spark.createDataFrame([(1, text), (2, text), (5, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.key: (r.raw, r.kept, r.duplicate) for r in search.proposition_parse(spark, str(tmp_path)).collect()}
+    assert got == {1: (12, 7, 5), 2: (12, 7, 5)}
+
+
 def test_ask_retries(spark):
     def client():
         seen = {}
