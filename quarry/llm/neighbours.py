@@ -8,9 +8,9 @@ thus cost more visits, not recall. What a query meets there is ranked by exact d
 on the original vectors.
 
 Every row is indexed. The sample (10,000 vectors, those of smallest hash) and the number of parts (512 at
-most) are parameters and the only bounds. Of vectors that are equal in every component only the k + 1 of
-smallest id can be among k nearest with ties to the smaller id, so no more of them are compared; this drops
-no result. Parts are compared in tiles of candidates and queries, so that a large part is many tasks.
+most) are parameters and the only bounds. Of vectors that are equal in every component only those of the k + 1
+smallest ids, and k rows of each id, can be among k nearest with ties to the smaller id, so no more of them are
+compared; this drops no result. Parts are compared in tiles of candidates and queries, so that a large part is many tasks.
 
 Defined cases. Vectors that are null, empty, zero, hold null or non-finite components, or have not the most
 common length take no part, nor do rows without id. Ties go to the smaller id. Rows that share an id are
@@ -131,11 +131,12 @@ def fit_router(x: np.ndarray, graph: np.ndarray, part: np.ndarray, parts: int, h
 def nearest(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query's row, id, distance) of each query's k nearest in x, with ties to the smaller id and without rows of its own id."""
     rows, found, score = [], [], []
-    norm, k2 = (x * x).sum(1), min(len(x), k + 1)
+    norm, k2 = (x * x).sum(1), min(len(x), k)
     for at in range(0, len(queries), 256):
         q = queries[at : at + 256]
         own = (q * q).sum(1)[:, None]
         d = norm - 2 * q @ x.T + own
+        d[query_ids[at : at + 256, None] == ids] = np.inf
         edge = np.partition(d, k2 - 1, axis=1)[:, k2 - 1 : k2]
         near = d <= edge + 1e-9 * (own + norm.max()) + 1e-300
         for r, c in enumerate(near):
@@ -213,7 +214,8 @@ def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     good = good.where(F.size("v") == common.dim)
-    few = good.withColumn("__n", F.expr("row_number() over (partition by v order by id)")).where(F.col("__n") <= k + 1)
+    few = good.withColumn("__n", F.expr("dense_rank() over (partition by v order by id)")).where(F.col("__n") <= k + 1)
+    few = few.withColumn("__n", F.expr("row_number() over (partition by v, id order by id)")).where(F.col("__n") <= k)
     base = stored(few.select("id", "v"), "ann-base")
     chosen = base.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
     index = fit_index(_matrix(chosen.column(0).combine_chunks(), common.dim) if chosen.num_rows else np.zeros((0, common.dim)), base.count())

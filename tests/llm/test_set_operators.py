@@ -277,3 +277,16 @@ def test_pipeline_on_odd_and_empty_tables(spark, sf):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, rows, sf)
         assert rows.count() >= 0
+
+
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 4)).astype(np.float32)
+    x[20:40] = x[0]
+    rows = [(k, v.tolist()) for k, v in enumerate(x) for _ in range({0: 11, 1: 2, 2: 30}.get(k, 1))]
+    got = {}
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") < 3).collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    for q in range(3):
+        d = sorted((float(np.linalg.norm(x[q].astype(float) - np.array(v))), i) for i, v in rows if i != q)
+        assert [i for _, i in sorted(got[q])] == [i for _, i in d[:10]]
