@@ -122,9 +122,9 @@ def quota_sample(spark, sf):
     return sample.with_quotas(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", 100, 5)
 
 
-def _answers(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Users' turns as gold, the next turn as the answer; every ninth answer is missing."""
-    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 200).alias("text"))
+def _answers(spark, sf, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Users' turns as gold, the next turn as the answer; every ninth answer is missing. Unless `whole`, both are cut as in the SQL."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.col("text") if whole else F.substring("text", 1, 200).alias("text"))
     gold = turns.where("role = 'user'").select(F.concat_ws("-", "conv_id", "turn").alias("test_id"), F.col("text").alias("expected_answer"), F.concat(F.lit("d"), F.col("conv_id") % 3).alias("dataset"), F.concat(F.lit("t"), F.col("turn") % 4).alias("answer_type"))
     answers = turns.where("role <> 'user' and conv_id % 9 <> 0").select(F.concat_ws("-", "conv_id", F.col("turn") - 1).alias("test_id"), F.col("text").alias("answer"))
     return gold, answers
@@ -155,6 +155,18 @@ def score_grouping_sets(spark, sf):
     return score.summarise(score.score_answers(*map(spread, _answers(spark, sf)), ascii_only=True))
 
 
+@query()
+def em_f1_score_whole(spark, sf):
+    """em_f1_score of whole texts."""
+    return score.score_answers(*map(spread, _answers(spark, sf, whole=True)), ascii_only=True).select("test_id", "em", "answered", F.round("f1", 6).alias("f1"))
+
+
+@query()
+def score_grouping_sets_whole(spark, sf):
+    """score_grouping_sets of whole texts."""
+    return score.summarise(score.score_answers(*map(spread, _answers(spark, sf, whole=True)), ascii_only=True))
+
+
 @query("""with u as (select turn % 5 as block, substr(text, 1, 3) as norm, conv_id * 100 + turn as seq from conversations where role = 'user'), b as (select turn % 5 as block, substr(text, 1, 3) as norm, conv_id * 100 + turn as seq from conversations where role = 'assistant'),
 x as (select *, row_number() over (partition by block, norm order by seq) as r from u), y as (select *, row_number() over (partition by block, norm order by seq) as r from b)
 select coalesce(x.block, y.block) as block, count(*) filter (x.seq is not null and y.seq is not null) as matched, count(*) filter (y.seq is null) as only_left, count(*) filter (x.seq is null) as only_right
