@@ -178,6 +178,17 @@ def bag_match_ab(spark, sf):
     return met.groupBy("block").agg(F.count_if(left & right).alias("matched"), F.count_if(left & ~right).alias("only_left"), F.count_if(~left & right).alias("only_right"))
 
 
+@query()
+def bag_match_ab_whole(spark, sf):
+    """bag_match_ab by whole normalised texts; so that some match, the right side also holds every third conversation's user turns, in capitals."""
+    turns = table(spark, sf, "conversations").select((F.col("turn") % 5).alias("block"), "text", (F.col("conv_id") * 100 + F.col("turn")).alias("seq"), "role", "conv_id")
+    normal = lambda df: spread(df).select("block", tx.scoring_normal("text").alias("norm"), "seq")
+    users, again = turns.where("role = 'user'"), turns.where("role = 'user' and conv_id % 3 = 0").withColumn("text", F.upper("text"))
+    met = dedup.bag_match(normal(users), normal(turns.where("role = 'assistant'").unionByName(again)), ["block", "norm"], "seq")
+    left, right = F.col("left_seq").isNotNull(), F.col("right_seq").isNotNull()
+    return met.groupBy("block").agg(F.count_if(left & right).alias("matched"), F.count_if(left & ~right).alias("only_left"), F.count_if(~left & right).alias("only_right"))
+
+
 @query("""with a as (select distinct conv_id from conversations where role = 'assistant'), s as (select distinct conv_id from conversations where role = 'system')
 select case when s.conv_id is null then 'left' when a.conv_id is null then 'right' else 'both' end as side, count(*) as n from a full outer join s on a.conv_id = s.conv_id group by 1""")
 def alignment_sides(spark, sf):

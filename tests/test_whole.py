@@ -12,3 +12,8 @@ def test_scores_of_whole_texts(spark, tmp_path):
     sf = _conversations(spark, tmp_path, [(1, 0, "user", "a " * 150 + "b"), (1, 1, "assistant", "a " * 150 + "c"), (2, 0, "user", "a " * 150 + "b"), (2, 1, "assistant", "A " * 150 + "B")])
     assert {r.test_id: (r.em, r.f1) for r in search.em_f1_score_whole(spark, sf).collect()} == {"1-0": (0, round(300 / 302, 6)), "2-0": (1, 1.0)}
     assert {r.level: r.em for r in search.score_grouping_sets_whole(spark, sf).collect()}["all"] == 0.5
+
+
+def test_bags_of_whole_texts(spark, tmp_path):
+    sf = _conversations(spark, tmp_path, [(3, 0, "user", "same start, one end"), (3, 5, "assistant", "same start, other end"), (4, 0, "user", "same start, third end")])
+    assert [tuple(r) for r in search.bag_match_ab_whole(spark, sf).collect()] == [(0, 1, 1, 1)]
