@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import ids
 from ..functions import text as tx
 from ..operators import dedup, graph, traverse, validate
+from ..plans.retrieval import LIMITS
 from .base import register, table
 
 QUERIES: dict = {}
@@ -165,6 +166,14 @@ def traverse_out(spark, sf):
     return traverse.first_hops(traverse.hop(urgent, _materials(spark, sf), "requires"), 3)
 
 
+@query("""with h as (select distinct 'o' || l_orderkey as src, 'p' || l_partkey as dst from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority like '1%')
+select src, dst from (select *, row_number() over (partition by src order by dst) as r from h) where r <= 30""")
+def traverse_out_whole(spark, sf):
+    """traverse_out with the reference's bound."""
+    urgent = table(spark, sf, "orders").where("o_orderpriority like '1%'").select(F.concat(F.lit("o"), "o_orderkey").alias("id"))
+    return traverse.first_hops(traverse.hop(urgent, _materials(spark, sf), "requires"))
+
+
 @query("select distinct 'p' || p_partkey as src, 'o' || l_orderkey as dst from part join lineitem on p_partkey = l_partkey where p_size = 1")
 def traverse_in(spark, sf):
     small = table(spark, sf, "part").where("p_size = 1").select(F.concat(F.lit("p"), "p_partkey").alias("id"))
@@ -221,6 +230,19 @@ def context_render(spark, sf):
     return rows.select("o_orderkey", text.alias("context"))
 
 
+@query("""with u as (select distinct o_orderkey, p_name from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey),
+r as (select *, row_number() over (partition by o_orderkey order by p_name) as r from u), l as (select o_orderkey, string_agg(p_name, '、' order by p_name) as names from r where r <= 20 group by 1)
+select o.o_orderkey, 'Order ' || o.o_orderkey || chr(10) || 'Customer: ' || c_name || chr(10) || 'Materials: ' || coalesce(names, '') as context from orders o join customer on o_custkey = c_custkey left join l on o.o_orderkey = l.o_orderkey""")
+def context_render_whole(spark, sf):
+    """context_render with the reference's bound."""
+    t = lambda name: table(spark, sf, name)
+    named = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o_orderkey"), "p_name")
+    names = traverse.collected(named, "o_orderkey", F.col("p_name"), F.col("p_name"), LIMITS["material"], "names")
+    rows = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(names, "o_orderkey", "left")
+    text = F.concat_ws("\n", F.concat(F.lit("Order "), "o_orderkey"), F.concat(F.lit("Customer: "), "c_name"), F.concat(F.lit("Materials: "), F.coalesce("names", F.lit(""))))
+    return rows.select("o_orderkey", text.alias("context"))
+
+
 @query("""with n as (select o_orderkey, o_custkey from orders where o_totalprice > 150000), o as (select distinct o_custkey as id from n)
 select 'other orders of customer ' || c_name || '?' as question, array_to_string(list_transform(list_sort(list(o_orderkey))[1:8], lambda x, i: i || '. ' || x), chr(10)) as expected_answer
 from orders join customer on o_custkey = c_custkey where o_custkey in (select id from o) group by c_custkey, c_name having count(*) between 3 and 8""")

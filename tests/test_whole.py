@@ -1,6 +1,6 @@
 """Queries over whole texts and tables, where those of the same name without _whole are cut as their SQL is."""
 
-from quarry.queries import search
+from quarry.queries import graph, search
 
 
 def _conversations(spark, path, turns):
@@ -17,3 +17,12 @@ def test_scores_of_whole_texts(spark, tmp_path):
 def test_bags_of_whole_texts(spark, tmp_path):
     sf = _conversations(spark, tmp_path, [(3, 0, "user", "same start, one end"), (3, 5, "assistant", "same start, other end"), (4, 0, "user", "same start, third end")])
     assert [tuple(r) for r in search.bag_match_ab_whole(spark, sf).collect()] == [(0, 1, 1, 1)]
+
+
+def test_bounds_of_the_reference(spark, tmp_path):
+    spark.range(7).selectExpr("1L as l_orderkey", "id as l_partkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(7).selectExpr("id as p_partkey", "concat('n', id) as p_name").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(1).selectExpr("1L as o_orderkey", "5L as o_custkey", "'1-URGENT' as o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1).selectExpr("5L as c_custkey", "'c' as c_name").write.parquet(f"{tmp_path}/customer.parquet")
+    assert graph.traverse_out_whole(spark, str(tmp_path)).count() == 7
+    assert graph.context_render_whole(spark, str(tmp_path)).first().context.endswith("n0、n1、n2、n3、n4、n5、n6")
