@@ -41,6 +41,17 @@ def multi_index_topk(spark, sf):
     return vector.search_all(indexes, _first_vector(spark, sf))
 
 
+@query(f"""with q as (select embedding as v from embeddings order by vec_id limit 1), s as (select label, vec_id, {_COSINE} as score from embeddings e, q),
+r as (select *, row_number() over (partition by label order by score desc, vec_id) as r from s where score >= case label when 0 then 0.05 else -1 end)
+select 'label' || label as label, vec_id::varchar as id, vec_id::varchar as name, score from r where r <= 5""")
+def multi_index_topk_whole(spark, sf):
+    """multi_index_topk over every label of the table."""
+    rows = table(spark, sf, "embeddings")
+    labels = sorted(r.label for r in rows.select("label").where("label is not null").distinct().collect())
+    indexes = [(f"label{k}", rows.where(F.col("label") == k), "vec_id", "embedding", "vec_id", 5, 0.05 if k == 0 else -1.0) for k in labels]
+    return vector.search_all(indexes, _first_vector(spark, sf))
+
+
 @query("""with r as (select vec_id, label, case when vec_id % 5 = 0 then list_transform(embedding, lambda x: 0.0::float) when vec_id % 7 = 0 then null else embedding end as v, case when vec_id % 11 = 0 then '' else 'text ' || vec_id end as text from embeddings)
 select vec_id, case when trim(text) = '' then 'skipped_empty' when vec_id % 13 = 0 or not (v is null or len(list_filter(v, lambda x: x <> 0)) = 0) then 'skipped_done' else 'todo' end as state from r""")
 def zero_vector_worklist(spark, sf):

@@ -26,3 +26,9 @@ def test_bounds_of_the_reference(spark, tmp_path):
     spark.range(1).selectExpr("5L as c_custkey", "'c' as c_name").write.parquet(f"{tmp_path}/customer.parquet")
     assert graph.traverse_out_whole(spark, str(tmp_path)).count() == 7
     assert graph.context_render_whole(spark, str(tmp_path)).first().context.endswith("n0、n1、n2、n3、n4、n5、n6")
+
+
+def test_every_label_is_searched(spark, sf):
+    found = {r.label for r in search.multi_index_topk_whole(spark, sf).collect()}
+    labels = {f"label{r.label}" for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("label").distinct().collect()}
+    assert labels - {"label0"} <= found and len(labels) > 3
