@@ -8,14 +8,16 @@ Texts with equal sets are one class, so that copies never meet in pairs. Within
 paired with the bucket's first and last class alone: a bucket of m classes gives fewer than 2 m pairs. Pairs
 whose sizes rule the similarity out are dropped, which loses nothing; the others are confirmed on full sets.
 A second round pairs what the first left apart: classes of a bucket that lie in different components, with
-another choice of centres. What is still apart in a bucket then is paired in full: every member outside the
-bucket's largest group with every member of another group, in tiles, so that no possible pair of a bucket stays
-untested. These pairs are confirmed in slices of bounded size, and pairs that a slice has linked are dropped.
-With 32 bands of 5 bins, two texts of similarity 0.8 share no bucket with a probability of 3 in a million, and
-about ten buckets on average; this is the only loss.
+another choice of centres. What is still apart in a bucket then is met in full: every member outside the
+bucket's largest group with every member of another group, in tiles, each pair in the first bucket that it
+shares alone, so that no possible pair of a bucket stays untested. A tile compares bit maps of the sets: bits
+that differ are no more than shingles that differ, so that a pair whose bits differ too much can't be linked and
+goes no further. The others are confirmed in turns, first one of each two groups, then four times as many a turn;
+pairs that a turn has linked are dropped. With 32 bands of 5 bins, two texts of similarity 0.8 share no bucket with
+a probability of 3 in a million, and about ten buckets on average; this is the only loss of the whole method.
 
-Only candidates' texts are read again for confirmation; a bit table of bounded size keeps others out of the
-shuffle.
+Only the texts of classes that share a bucket are read again, once, for their sets; a bit table of bounded size
+keeps others out of the shuffle.
 
 Defined cases. Null text counts as empty: no shingles, linked with nothing. Rows without id are linked with
 nothing, and rows that share an id are one node. Equal sets are linked whatever their number. Empty input:
@@ -34,14 +36,16 @@ from pyspark.sql import types as T
 
 from .components import components
 from .exact_dedup import MAX_BITS, table_bits
-from .shared import discard, documents, heavy_limit, stored, weighted_join
+from .shared import discard, documents, heavy_limit, map_arrow, salted_join, stored, weighted_join
 
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Bytes of text hashed at once.
 BLOCK = 1 << 20
 #: Rows on either side of a tile, on average. Pairs confirmed at once: for each class, and at least.
-TILE, SLICE, LEAST = 256, 0.5, 20_000
+TILE, SLICE, LEAST = 2048, 0.5, 20_000
+#: Bytes of bit maps that a tile compares at once.
+COMPARED = 1 << 24
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -150,8 +154,114 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bit_map(hashes: np.ndarray) -> bytes:
+    """A bit for each hash's place, in a power of two of bits, eight for a hash at least."""
+    width = max(64, 1 << (8 * len(hashes) - 1).bit_length()) if len(hashes) else 64
+    bits = np.zeros(width, bool)
+    bits[(hashes & _U(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(left: list[bytes], right: list[bytes], i: np.ndarray, j: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs (left[i], right[j]) of sizes n1 and n2 can be linked: bits that differ are shingles that differ. The wider map is folded first."""
+    out = np.zeros(len(i), bool)
+    wide1, wide2 = np.array([len(x) for x in left]), np.array([len(x) for x in right])
+    least = np.minimum(wide1[i], wide2[j])
+    for width in np.unique(least):
+        at = np.flatnonzero(least == width)
+        maps = []
+        for bits, wide, used in ((left, wide1, i[at]), (right, wide2, j[at])):
+            rows, place = np.unique(used, return_inverse=True)
+            folded = np.stack([np.bitwise_or.reduce(np.frombuffer(bits[r], np.uint64).reshape(wide[r] // width, -1), axis=0) for r in rows])
+            maps.append((folded, place))
+        (x, px), (y, py) = maps
+        step = max(1, COMPARED // int(width))
+        for k in range(0, len(at), step):
+            own = at[k : k + step]
+            differ = np.bitwise_count(x[px[k : k + step]] ^ y[py[k : k + step]]).sum(1, dtype=np.int64)
+            both = n1[own] + n2[own]
+            out[own] = 100 * (both - differ) >= percent * (both + differ)
+    return out
+
+
+def _tile(few, others, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i of few, j of others) that a tile leaves to be confirmed. Both: dicts of arrays; bands as a matrix."""
+    found = [], []
+    bucket = few["bucket"][0]
+    band = int(np.flatnonzero(few["bands"][0] == bucket)[0])
+    for at in range(0, len(few["n"]), 256):
+        n1, g1, x = few["n"][at : at + 256, None], few["group"][at : at + 256, None], few["rep"][at : at + 256, None]
+        n2 = others["n"][None]
+        open_ = (n1 * 100 >= percent * n2) & (n2 * 100 >= percent * n1) & (g1 != others["group"][None]) & (~others["few"][None] | (x < others["rep"][None]))
+        i, j = np.nonzero(open_)
+        if band and len(i):  # each pair in the first bucket that it shares
+            first = np.ones(len(i), bool)
+            for k in range(0, len(i), 1 << 18):
+                own = slice(k, k + (1 << 18))
+                first[own] = ~(few["bands"][at + i[own], :band] == others["bands"][j[own], :band]).any(1)
+            i, j = i[first], j[first]
+        if len(i):
+            i = i + at
+            may = may_link(few["bits"], others["bits"], i, j, few["n"][i], others["n"][j], percent)
+            found[0].append(i[may])
+            found[1].append(j[may])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([*found[0], none]), np.concatenate([*found[1], none])
+
+
+def _tiles(rows: DataFrame, id_type: T.DataType, percent: int) -> DataFrame:
+    """(a, b) of possible pairs. rows: bucket, i, j, side (0: few, 1: others), few, rep, group, n, bands, bits; a tile's rows come one after the other."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(id_type)
+
+    def compare(table):
+        import pyarrow as pa
+
+        sides = []
+        for side in (0, 1):
+            own = table.filter(pa.compute.equal(table.column("side"), side))
+            if not own.num_rows:
+                return None
+            ids = [own.column(c).combine_chunks() for c in ("rep", "group")]
+            ids = [x.to_numpy(zero_copy_only=False) for x in ids]
+            sides.append({
+                "bucket": own.column("bucket").to_numpy(), "rep": ids[0], "group": ids[1], "n": own.column("n").to_numpy().astype(np.int64), "few": own.column("few").to_numpy().astype(bool),
+                "bands": own.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS), "bits": own.column("bits").to_pylist(),
+            })
+        i, j = _tile(*sides, percent)
+        if not len(i):
+            return None
+        x, y = sides[0]["rep"][i], sides[1]["rep"][j]
+        low = x < y
+        return pa.RecordBatch.from_arrays([pa.array(np.where(low, x, y), kind), pa.array(np.where(low, y, x), kind)], names=["a", "b"])
+
+    def run(batches):
+        import pyarrow as pa
+
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([*held, batch])
+            key = np.stack([whole.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")])
+            edge = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1).tolist()]
+            for begin, end in zip(edge, edge[1:]):
+                made = compare(whole.slice(begin, end - begin))
+                if made:
+                    yield made
+            held = whole.slice(edge[-1]).to_batches()
+        if held:
+            made = compare(pa.Table.from_batches(held))
+            if made:
+                yield made
+
+    name = id_type.simpleString()
+    return map_arrow(rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"), run, f"a {name}, b {name}")
+
+
 def _arrow(df: DataFrame, id_type: T.DataType, k: int, full: bool) -> DataFrame:
-    """df: id, text. Gives id, n and either the set's key and bands, or the set."""
+    """df: id, text. Gives id, n, the set's key and bands and, if `full`, the set and its bit map."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(id_type)
@@ -164,17 +274,18 @@ def _arrow(df: DataFrame, id_type: T.DataType, k: int, full: bool) -> DataFrame:
                 batch = whole.slice(at, 256)
                 sets = list(_sets(batch.column(1).to_pylist(), k))
                 ids, n = batch.column(0).cast(kind), pa.array([len(s) for s in sets], pa.int32())
+                keys = pa.array([hashlib.md5(s.tobytes()).hexdigest() if len(s) else None for s in sets], pa.string())
+                marks = pa.array([bands(s).tolist() if len(s) else None for s in sets], pa.list_(pa.int64()))
+                columns, names = [ids, n, keys, marks], ["id", "n", "key", "bands"]
                 if full:
                     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                     flat = pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))
-                    yield pa.RecordBatch.from_arrays([ids, n, pa.ListArray.from_arrays(pa.array(offsets), flat)], names=["id", "n", "shingles"])
-                else:
-                    keys = pa.array([hashlib.md5(s.tobytes()).hexdigest() if len(s) else None for s in sets], pa.string())
-                    marks = pa.array([bands(s).tolist() if len(s) else None for s in sets], pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([ids, n, keys, marks], names=["id", "n", "key", "bands"])
+                    columns += [pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([bit_map(s) for s in sets], pa.binary())]
+                    names += ["shingles", "bits"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     name = id_type.simpleString()
-    return df.mapInArrow(run, f"id {name}, n int, shingles array<long>" if full else f"id {name}, n int, key string, bands array<long>")
+    return map_arrow(df, run, f"id {name}, n int, key string, bands array<long>" + ", shingles array<long>, bits binary" * full)
 
 
 def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
@@ -200,38 +311,36 @@ def _pairs(members: DataFrame, percent: int) -> DataFrame:
     return met.where(possible).select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).where("a <> b").distinct()
 
 
-def _apart(rows: DataFrame, percent: int, limit: int) -> DataFrame:
-    """(a, b) of all members of a bucket (bucket, rep, n, group) in different groups whose sizes allow a link. Buckets of up to three members have met their centres."""
+def _apart(rows: DataFrame, sets: DataFrame, id_type: T.DataType, percent: int, limit: int) -> DataFrame:
+    """(a, b) of members of a bucket (bucket, rep, n, group) in different groups that can be linked. Buckets of up to three members have met their centres. sets: id, bands, bits."""
     groups = rows.groupBy("bucket", "group").agg(F.count("*").alias("c"))
     split = groups.groupBy("bucket").agg(F.sum("c").alias("m"), F.count("*").alias("groups"), F.max(F.struct("c", "group")).alias("top")).where("m > 3 and groups > 1")
     split = stored(split.select("bucket", "m", F.col("top.c").alias("c"), F.col("top.group").alias("top")), "near-split")
     tiles = lambda n: F.ceil(n / TILE).cast("int")
     own = weighted_join(rows, "bucket", split, "m", limit).withColumn("__all", tiles(F.col("m"))).withColumn("__few", tiles(F.col("m") - F.col("c")))
+    own = own.withColumn("few", F.col("group") != F.col("top")).join(sets.select(F.col("id").alias("rep"), "bands", "bits"), "rep").where(F.array_contains("bands", F.col("bucket")))
     place = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    few = own.where("group <> top").select("bucket", F.col("rep").alias("x"), F.col("n").alias("n1"), F.col("group").alias("g1"), place("__few").alias("i"), F.explode(F.expr("sequence(0, __all - 1)")).alias("j"))
-    others = own.select("bucket", F.col("rep").alias("y"), F.col("n").alias("n2"), F.col("group").alias("g2"), place("__all").alias("j"), F.explode(F.expr("sequence(0, __few - 1)")).alias("i"))
-    possible = (F.col("n1") * 100 >= percent * F.col("n2")) & (F.col("n2") * 100 >= percent * F.col("n1"))
-    return few.join(others, ["bucket", "i", "j"]).where(possible & (F.col("g1") != F.col("g2"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    kept = ("few", "rep", "group", "n", "bands", "bits")
+    few = own.where("few").select("bucket", place("__few").alias("i"), F.explode(F.expr("sequence(0, __all - 1)")).alias("j"), F.lit(0).alias("side"), *kept)
+    others = own.select("bucket", F.explode(F.expr("sequence(0, __few - 1)")).alias("i"), place("__all").alias("j"), F.lit(1).alias("side"), *kept)
+    return _tiles(few.unionByName(others), id_type, percent)
 
 
 def _ungrouped(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose components differ."""
-    ends = pairs
+    """Those pairs (a, b) whose components g1 and g2 differ."""
+    ends = pairs.select("a", "b")
     for end, name in (("a", "__g1"), ("b", "__g2")):
-        ends = ends.join(labels.select(F.col("node").alias(end), F.col("component").alias(name)), end, "left")
-    return ends.where(F.coalesce("__g1", "a") != F.coalesce("__g2", "b")).select("a", "b")
+        ends = ends.join(labels.select(F.col("node").alias(end), F.col("component").alias(name)), end, "left").withColumn(name, F.coalesce(name, end))
+    return ends.where("__g1 <> __g2").select("a", "b", F.least("__g1", "__g2").alias("g1"), F.greatest("__g1", "__g2").alias("g2"))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, id_type: T.DataType, k: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of which the sets' intersection is `percent` of their union or more."""
-    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "near-ids")
-    sets = stored(_arrow(_only(docs, ids), id_type, k, True), "near-sets")
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of which the sets' intersection is `percent` of their union or more. sets: id, n, shingles. A class that is in very many pairs is no task of its own."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("__n1"), F.col("shingles").alias("__s1"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("__n2"), F.col("shingles").alias("__s2"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("__common", F.size(F.array_intersect("__s1", "__s2")))
-    links = stored(both.where(F.col("__common") * 100 >= percent * (F.col("__n1") + F.col("__n2") - F.col("__common"))).select("a", "b"), "near-links")
-    discard(sets, ids)
-    return links
+    limit = heavy_limit(0)
+    both = salted_join(salted_join(pairs.select("a", "b"), "a", left, limit), "b", right, limit).withColumn("__common", F.size(F.array_intersect("__s1", "__s2")))
+    return stored(both.where(F.col("__common") * 100 >= percent * (F.col("__n1") + F.col("__n2") - F.col("__common"))).select("a", "b"), "near-links")
 
 
 def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -246,32 +355,41 @@ def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     centres = stored(_centres(places, F.col("rep")), "near-centres")
     limit = heavy_limit(BANDS * classes.count())
     members = stored(weighted_join(places, "bucket", centres, "m", limit), "near-members")
+    ids = stored(members.select(F.col("rep").alias("id")).distinct(), "near-ids")
+    sets = stored(_arrow(_only(docs, ids), id_type, words, True).dropDuplicates(["id", "key"]), "near-sets")
     first = stored(_pairs(members, percent), "near-pairs")
-    links = _confirm(first, docs, id_type, words, percent)
+    links = _confirm(first, sets, percent)
     labels = stored(components(links), "near-labels")
     grouped = lambda: members.select("bucket", "rep", "n").join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("group"))
     joined = lambda more: stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "near-labels")
     left = stored(grouped(), "near-grouped")
     apart = stored(_centres(left, F.xxhash64("bucket", "rep")), "near-centres")
     second = stored(_pairs(weighted_join(left, "bucket", apart, "m", limit), percent).join(first, ["a", "b"], "left_anti"), "near-pairs")
-    more = _confirm(second, docs, id_type, words, percent)
+    more = _confirm(second, sets, percent)
     if not more.isEmpty():
         labels = joined(more)
     discard(left)
     left = stored(grouped(), "near-grouped")
-    rest = stored(_apart(left, percent, limit).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "near-rest")
-    discard(centres, members, left, apart, first, second, links, more)
-    once, turn = max(LEAST, int(SLICE * classes.count())), 0
-    while n := rest.count():
+    rest = stored(_apart(left, sets, id_type, percent, limit).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "near-rest")
+    discard(centres, members, left, apart, first, second, links, more, ids)
+    once, quota, turn = max(LEAST, int(SLICE * classes.count())), 1, 0
+    while True:
         turn += 1
+        open_, mark = _ungrouped(rest, labels), F.xxhash64("a", "b", F.lit(turn))
+        picked = stored(open_.groupBy("g1", "g2", F.pmod(mark, F.lit(quota)).alias("q")).agg(F.min_by("a", mark).alias("a"), F.min_by("b", mark).alias("b")).select("a", "b"), "near-picked")
+        n = picked.count()
+        if not n:
+            discard(picked)
+            break
         slices = -(-n // once)
-        now = F.pmod(F.xxhash64("a", "b", F.lit(turn)), F.lit(slices)) == 0
-        more = _confirm(rest.where(now), docs, id_type, words, percent)
+        now = picked.where(F.pmod(F.xxhash64("b", "a", F.lit(turn)), F.lit(slices)) == 0)
+        more = _confirm(now, sets, percent)
+        old, rest = rest, stored(open_.select("a", "b").join(now, ["a", "b"], "left_anti"), "near-rest")
         if not more.isEmpty():
             labels = joined(more)
-        old, rest = rest, stored(_ungrouped(rest.where(~now), labels), "near-rest")
-        discard(old, more)
-    discard(rest)
+        discard(old, more, picked)
+        quota *= 4 if slices == 1 else 1
+    discard(rest, sets)
     of_class = classes.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     found = usable.select("id", "n", "key").join(of_class, "key").select("id", "n", "component")
     rest = table.where("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component"))

@@ -9,13 +9,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of a batch that goes to a Python worker: what JVM and worker hold of it at once, several times over.
+BATCH_BYTES = 4 << 20
+_LOCAL: dict[str, str] = {}
+
+
 def shared_base(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where it is unset, as in tests, a local one is chosen and set."""
+    """The folder named by spark.checkpoint.dir. Only where it is unset a local one is chosen, and only if all of Spark runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="quarry-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="quarry-")
+    return _LOCAL[context.applicationId]
+
+
+_SLOT: list = [None, None]
+
+
+def worker_keeps(key, make):
+    """What `make` gives, kept in this Python worker from task to task until another key is asked for: a worker holds one such thing."""
+    if _SLOT[0] != key:
+        _SLOT[:] = [None, None]
+        _SLOT[:] = [key, make()]
+    return _SLOT[1]
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow, with batches bounded by bytes besides rows, since texts can be long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -66,5 +92,15 @@ def weighted_join(rows: DataFrame, key: str, table: DataFrame, weight: str, limi
     return hot.unionByName(rest)
 
 
+def salted_join(rows: DataFrame, key: str, table: DataFrame, limit: int) -> DataFrame:
+    """Inner join by a key that is unique in `table`. A key with more than `limit` of the rows is dealt to several tasks, each with a copy
+    of the table's row. What is broadcast are such keys and their numbers of tasks: fewer than the rows divided by the limit."""
+    heavy = rows.groupBy(key).count().where(F.col("count") > limit).select(F.col(key).alias("__key"), F.ceil(F.col("count") / limit).cast("int").alias("__parts"))
+    on = F.col(key) == F.col("__key")
+    ours = rows.join(F.broadcast(heavy), on, "left").withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__key", "__parts")
+    theirs = table.join(F.broadcast(heavy), on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__key", "__parts")
+    return ours.join(theirs, [key, "__salt"]).drop("__salt")
+
+
 def heavy_limit(rows: int) -> int:
     return max(1000, rows // 1000)

@@ -290,3 +290,67 @@ def test_neighbours_of_repeated_rows(spark):
     for q in range(3):
         d = sorted((float(np.linalg.norm(x[q].astype(float) - np.array(v))), i) for i, v in rows if i != q)
         assert [i for _, i in sorted(got[q])] == [i for _, i in d[:10]]
+
+
+def matrix_components(rows, k, percent=80):
+    """The same as brute_components, with all pairs' intersections as one product of matrices."""
+    sets = [{tuple(t.split()[i : i + k]) for i in range(len(t.split()) - k + 1)} for _, t in rows]
+    number = {}
+    x = np.zeros((len(rows), len({s for own in sets for s in own})), np.float32)
+    for r, own in enumerate(sets):
+        x[r, [number.setdefault(s, len(number)) for s in own]] = 1
+    both, n = x @ x.T, x.sum(1)
+    link = 100 * both >= percent * (n[:, None] + n[None] - both)
+    label = np.arange(len(rows))
+    while True:
+        less = np.where(link, label[None], len(rows)).min(1)
+        if (less == label).all():
+            return {rows[r][0]: (len(sets[r]), rows[label[r]][0]) for r in range(len(rows))}
+        label = less
+
+
+def test_templates_with_edited_twins(spark):
+    rng = random.Random(29)
+    base = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(700):
+        text = list(base)
+        for place in rng.sample(range(400), 29):
+            text[place] = f"x{k}.{place}"
+        twin = list(text)
+        for place in rng.sample(range(400), 20):
+            twin[place] = f"y{k}.{place}"
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(twin))]
+    expected = matrix_components(rows, 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.find_near(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()}
+    assert got == expected and 700 <= len({c for _, c in got.values()}) < 1400
+
+
+def test_bit_maps_never_hide_a_link():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(1, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.7, 1)], rng.integers(1, 1 << 63, int(rng.integers(0, n // 4 + 2)), dtype=np.uint64)]))
+        if not len(b):
+            continue
+        both = len(np.intersect1d(a, b))
+        link = 100 * both >= 80 * (len(a) + len(b) - both)
+        may = near_dedup.may_link([near_dedup.bit_map(a)], [near_dedup.bit_map(b)], np.array([0]), np.array([0]), np.array([len(a)]), np.array([len(b)]), 80)
+        assert may[0] or not link
+
+
+def test_repeated_ids_with_different_texts(spark):
+    texts = [" ".join(f"w{j}" for j in range(at, at + 60)) for at in (0, 1, 500, 501, 900)]
+    rows = [(1, texts[0]), (2, texts[1]), (1, texts[2]), (3, texts[3]), (4, texts[4]), (4, texts[4]), (None, texts[4])]
+    got = sorted((r.doc_id, r.component_id) for r in near_dedup.find_near(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect() if r.doc_id)
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+
+
+def test_salted_join(spark):
+    from quarry.llm.shared import salted_join
+
+    rows = spark.range(5000).selectExpr("if(id % 3 = 0, 0, id % 50) as k", "id as v")
+    table = spark.range(60).selectExpr("id as k", "id * 10 as w")
+    got = salted_join(rows, "k", table, 300)
+    assert got.count() == 5000 and got.where("w <> k * 10").count() == 0 and set(got.columns) == {"k", "v", "w"}
