@@ -7,8 +7,11 @@ end, so tokens that all those prefixes share are stable: they are emitted and dr
 `lookahead`, the number of merges times the longest token, a bound that the merge list alone fixes; in
 practice a few dozen symbols are kept, whatever the length of the text.
 
-Text is split at white space first, since no pre-token holds any; the encodings of the pieces met most are
-kept in a table of bounded size.
+A text is read in blocks that end before white space, where no pre-token and no composed character crosses;
+each block is normalised and split, and its pre-tokens go through the transducer. The encodings of short pieces
+are kept in a table of bounded size. The ids of a block go to the decoder, a machine whose state is a few bytes:
+whether a token came before, and the bytes of a character that is not complete yet. So what is held besides the
+text itself does not grow with it.
 
 Defined cases. Null text counts as empty; empty text has no tokens and decodes to empty text. Strings of
 special tokens in a text become those tokens, as in the library. Rows, ids and other columns pass unchanged;
@@ -23,19 +26,22 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from itertools import islice, takewhile
 
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .shared import documents
+from .shared import documents, map_arrow, worker_keeps
 
 #: Entries of each table of pieces already encoded or decoded.
-TABLE = 160_000
+TABLE = 100_000
 #: Symbols read between two searches for stable tokens, and pieces handled at once.
 BLOCK = 256
 PIECES = 8192
+#: Characters of a text that are normalised and split at once, at least; a block ends before white space and an ASCII letter or digit.
+TEXT_BLOCK = 1 << 16
+CUT = re.compile("[\t-\r ](?=[0-9A-Za-z])")
 #: Python counts U+001C to U+001F as white space; the tokenizer's pattern does not.
 WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD = re.compile("[\x1c-\x1f]")
@@ -53,20 +59,17 @@ def byte_alphabet() -> list[str]:
 
 
 class Bounded(dict):
-    """A table filled by `make`. When it is full it is set aside, and entries still in use come back from there."""
+    """A table filled by `make`. When it is full the older half goes."""
 
     def __init__(self, make, most: int = TABLE):
         super().__init__()
-        self.make, self.most, self.aside = make, most, {}
+        self.make, self.most = make, most
 
     def __missing__(self, key):
         if len(self) >= self.most:
-            self.aside = dict(self)
-            self.clear()
-        value = self.aside.get(key)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
+            for old in list(islice(self, self.most // 2)):
+                del self[old]
+        value = self[key] = self.make(key)
         return value
 
 
@@ -231,14 +234,17 @@ class Codec:
         self.borders = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pieces = Bounded(self._piece)
         self.byte = {c: b for b, c in enumerate(self.letters)}
+        self.spelled = {str(i): x.encode("utf-8", "replace") for i, x in self.token.items()}
 
-    def _word(self, word: str) -> tuple[str, str]:
-        """The ids of a pre-token in decimal, and what they decode to."""
+    def _symbols(self, word: str) -> str:
         letters = self.letters
-        ids = self.transducer.encode("".join([letters[b] for b in word.encode("utf-8", "replace")]))
-        return " ".join(map(str, ids)), Decoder(self).text(ids)
+        return "".join([letters[b] for b in word.encode("utf-8", "replace")])
 
-    def _piece(self, piece: str) -> tuple[str, str]:
+    def _word(self, word: str) -> str:
+        """The ids of a pre-token in decimal."""
+        return " ".join(map(str, self.transducer.encode(self._symbols(word))))
+
+    def _piece(self, piece: str) -> str:
         """The same of what stands between white space: pre-tokens are pieces too and are looked up as such."""
         if piece.isalpha():  # letters alone are one pre-token
             return self._word(piece)
@@ -248,9 +254,18 @@ class Codec:
             found = self.pattern.findall(piece)
             if len(found) == 1:
                 return self._word(piece)
-        pieces = self.pieces
-        ids, texts = zip(*[pieces[w] if len(w) <= BLOCK else self._word(w) for w in found])
-        return " ".join(ids), " ".join(texts)
+        return " ".join([self.pieces[w] for w in found])
+
+    def _long(self, piece: str) -> Iterator[list[str]]:
+        """Blocks of ids of a long piece: its pre-tokens one by one, the long ones as a stream of symbols."""
+        for m in self.pattern.finditer(piece):
+            begin, end = m.span()
+            if end - begin <= BLOCK:
+                yield [self.pieces[m[0]]]
+                continue
+            ids = self.transducer.stream(self._symbols(piece[k : min(k + BLOCK, end)]) for k in range(begin, end, BLOCK))
+            while block := list(islice(ids, PIECES)):
+                yield [" ".join(map(str, block))]
 
     def normalise(self, text: str) -> str:
         if not text.isascii():
@@ -258,22 +273,43 @@ class Codec:
             text = text.replace("Σ", "σ")  # characters are lowered one by one: no final form
         return text.lower() if self.lower else text
 
-    def encode_pieces(self, text: str | None) -> Iterator[list[tuple[str, str]]]:
-        """For each piece of a text its ids in decimal, joined by one space, and the text they decode to; in blocks of pieces."""
-        parts = [text or ""]
-        if self.borders and text and any(s in text for s in self.special):
-            parts = self.borders.split(text)
-        for part in parts:
-            if part in self.special:
-                yield [(str(self.special[part]), part)]
+    def _spans(self, text: str) -> Iterator[tuple[int, int, bool]]:
+        """Begin and end of blocks of the text, and whether a block is a special token."""
+        at, special = 0, iter(())
+        if self.borders and any(s in text for s in self.special):
+            special = self.borders.finditer(text)
+        for m in [*special, None] if text else ():
+            end = m.start() if m else len(text)
+            while at < end:
+                cut = CUT.search(text, min(at + TEXT_BLOCK, end), end)
+                upto = cut.start() if cut else end
+                yield at, upto, False
+                at = upto
+            if m:
+                yield m.start(), m.end(), True
+                at = m.end()
+
+    def encode_pieces(self, text: str | None) -> Iterator[list[str]]:
+        """Token ids in decimal, those of a piece joined by one space; in blocks of pieces."""
+        for begin, end, special in self._spans(text or ""):
+            part = text[begin:end]
+            if special:
+                yield [str(self.special[part])]
                 continue
             part = self.normalise(part)
             pieces = part.split() if not ODD.search(part) else [x for x in WHITE.split(part) if x]
-            for at in range(0, len(pieces), PIECES):
-                yield [self.pieces[p] if len(p) <= BLOCK else self._piece(p) for p in pieces[at : at + PIECES]]
+            at = 0
+            while at < len(pieces):
+                short = list(takewhile(lambda p: len(p) <= BLOCK, islice(pieces, at, at + PIECES)))
+                if short:
+                    yield list(map(self.pieces.__getitem__, short))
+                    at += len(short)
+                else:
+                    yield from self._long(pieces[at])
+                    at += 1
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for block in self.encode_pieces(text) for p, _ in block for i in p.split(" ")]
+        return [int(i) for block in self.encode_pieces(text) for p in block for i in p.split(" ")]
 
     def decode(self, ids: Iterable[int]) -> str:
         return Decoder(self).text(ids)
@@ -283,24 +319,31 @@ class Decoder:
     """Text from token ids, in any number of calls; special tokens stay.
 
     Without a decoder in the tokenizer's file the text is the tokens joined by a space. `bytes_text` gives the
-    text that the tokens spell: bytes go through an incremental UTF-8 machine, which keeps at most three bytes
-    of a character whose end has not come yet.
+    text that the tokens spell. Either way a token's bytes go through an incremental UTF-8 machine, which keeps
+    at most three bytes of a character whose end has not come yet.
     """
 
     def __init__(self, codec: Codec):
-        self.codec, self.begun, self._utf8 = codec, False, None
-
-    @property
-    def utf8(self):
-        self._utf8 = self._utf8 or codecs.getincrementaldecoder("utf-8")("replace")
-        return self._utf8
+        self.codec, self.begun, self.utf8 = codec, False, codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, ids: list[str]) -> str:
+        """The text that ids in decimal add. Unknown ids add nothing."""
+        spelled = self.codec.spelled
+        try:
+            found = [spelled[i] for i in ids]
+        except KeyError:
+            found = [spelled[i] for i in ids if i in spelled]
+        if not found:
+            return ""
+        lead, self.begun = b" " if self.begun else b"", True
+        return self.utf8.decode(lead + b" ".join(found))
+
+    def end(self) -> str:
+        """What is left when no more ids come."""
+        return self.utf8.decode(b"", True)
 
     def text(self, ids: Iterable[int]) -> str:
-        token = self.codec.token
-        found = " ".join([token[i] for i in ids if i in token])
-        lead = " " if self.begun and found else ""
-        self.begun = self.begun or bool(found)
-        return lead + found
+        return self.feed([str(i) for i in ids])
 
     def bytes_text(self, ids: Iterable[int], end: bool = False) -> str:
         suffix, out = self.codec.transducer.suffix, []
@@ -318,9 +361,8 @@ class Decoder:
         return "".join(out) + (self.utf8.decode(b"", True) if end else "")
 
 
-@lru_cache(maxsize=2)
 def codec_of(spec: str) -> Codec:
-    return Codec(spec)
+    return worker_keeps(("codec", spec), lambda: Codec(spec))
 
 
 def read_spec(path: str) -> str:
@@ -340,15 +382,20 @@ def _mapped(df: DataFrame, text_col: str, fields: list[T.StructField], spec: str
     shared = df.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches):
-        codec = codec_of(shared.value)
+        codec, last, found = codec_of(shared.value), None, None
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                made = [row(codec, x.as_py()) for x in batch.column(text_col)]
+                made = []
+                for x in batch.column(text_col):
+                    value = x.as_py()
+                    if found is None or value != last:  # a mix has the copies of a row one after the other
+                        last, found = value, row(codec, value)
+                    made.append(found)
                 new = [pa.array([m[k] for m in made], arrow.field(k).type) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], names=[*columns, *names])
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def encode_documents(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -362,14 +409,15 @@ def decode_documents(df: DataFrame, path: str, ids_col: str = "ids", out: str =
 
 
 def _digest(codec: Codec, text: str | None) -> tuple[int, str, str]:
-    ids, decoded, n, lead = hashlib.sha256(), hashlib.sha256(), 0, ""
+    ids, decoded, n, lead, machine = hashlib.sha256(), hashlib.sha256(), 0, "", Decoder(codec)
     for block in codec.encode_pieces(text):
-        if block:
-            ids_text, words = map(" ".join, zip(*block))
-            ids.update((lead + ids_text).encode())
-            decoded.update((lead + words).encode())
-            n += ids_text.count(" ") + 1
-            lead = " "
+        line = " ".join(block)
+        if line:
+            ids.update((lead + line).encode())
+            own, lead = line.split(" "), " "
+            n += len(own)
+            decoded.update(machine.feed(own).encode())
+    decoded.update(machine.end().encode())
     return n, ids.hexdigest(), decoded.hexdigest()
 
 

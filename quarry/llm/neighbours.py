@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import map_arrow, stored
 
 SAMPLE = 10_000
 PART_ROWS = 3_000
@@ -234,8 +234,8 @@ def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(np.concatenate(visits).astype(np.int32))], names=["id", "v", "part"])
 
     kind = base.schema["v"].dataType.simpleString()
-    placed = stored(base.mapInArrow(assign, f"id long, v {kind}, part int"), "ann-placed")
-    asked = stored(good.where("q").select("id", "v").distinct().mapInArrow(route, f"id long, v {kind}, part int"), "ann-asked")
+    placed = stored(map_arrow(base, assign, f"id long, v {kind}, part int"), "ann-placed")
+    asked = stored(map_arrow(good.where("q").select("id", "v").distinct(), route, f"id long, v {kind}, part int"), "ann-asked")
 
     def tiles(rows: DataFrame) -> Column:
         counts = dict(rows.groupBy("part").count().collect())  # a row for each part

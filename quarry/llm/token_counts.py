@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import find_copies
-from .shared import documents, remove, scratch, stored
+from .shared import documents, map_arrow, remove, scratch, stored
 from .token_files import default_path, encoder_of, read_spec
 
 KEYS = ("source", "lang", "tokenizer")
@@ -112,7 +112,7 @@ def count_tokens(df: DataFrame, path: str, tokenizer: str, text_col: str = "text
                 n = [len(encoder.encode(t.as_py())) // encoder.kind.itemsize for t in batch.column(text_col)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array([tokenizer] * len(n), pa.string()), pa.array(n, pa.int64())], names=[*names, "tokenizer", "n_tokens"])
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField("tokenizer", T.StringType()), T.StructField("n_tokens", T.LongType())]))
+    return map_arrow(df, run, T.StructType([*kept, T.StructField("tokenizer", T.StringType()), T.StructField("n_tokens", T.LongType())]))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Bounded, read_spec
-from .shared import documents, scratch, stored
+from .shared import documents, map_arrow, scratch, stored, worker_keeps
 
 LENGTH = 2048
 #: Sequences in a batch.
@@ -48,7 +47,7 @@ CUT = re.compile(f"(?<=[^{_W}]) (?=[^{_W}])")
 class Encoder:
     """Texts to bytes of little-endian ids, by the tokenizers library."""
 
-    def __init__(self, spec: str, table: int = 400_000):
+    def __init__(self, spec: str, table: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -83,10 +82,9 @@ class Encoder:
         return b"".join(out)
 
 
-@lru_cache(maxsize=2)
 def encoder_of(spec: str) -> Encoder:
     """A worker's encoder, kept with its table from task to task."""
-    return Encoder(spec)
+    return worker_keeps(("encoder", spec), lambda: Encoder(spec))
 
 
 def _schema(kind: np.dtype, length: int) -> pa.Schema:
@@ -195,12 +193,14 @@ class TokenFile:
 
 
 def write_tokens(df: DataFrame, uri: str, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end: int = END) -> DataFrame:
-    """Writes `df`'s texts as files under `uri`. Gives the manifest: part, sequences, docs, n_docs, n_tokens, in id order by part."""
+    """Writes `df`'s texts as files under `uri`. Gives the manifest: part, sequences, docs, n_docs, n_tokens, id_type, in id order by part."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    kind = to_arrow_type(df.schema[id_col].dataType)
+    name, kind = df.schema[id_col].dataType.simpleString(), to_arrow_type(df.schema[id_col].dataType)
     shared = df.sparkSession.sparkContext.broadcast(read_spec(path))
-    ordered = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartitionByRange("id").sortWithinPartitions("id", "text")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    start = F.substring("text", 1, 64)  # rows of one id may go to several ranges, in the order of their texts
+    ordered = rows.withColumn("start", start).repartitionByRange("id", "start").sortWithinPartitions("id", "text").select("id", "text")
 
     def run(batches):
         from pyspark import TaskContext
@@ -214,18 +214,18 @@ def write_tokens(df: DataFrame, uri: str, path: str, id_col: str = "doc_id", tex
                 n += 1
         if out:
             out.close()
-            yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "sequences": [out.files[0]], "docs": [out.files[1]], "n_docs": [n], "n_tokens": [out.n]})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "sequences": [out.files[0]], "docs": [out.files[1]], "n_docs": [n], "n_tokens": [out.n], "id_type": [name]})
 
-    return stored(ordered.mapInArrow(run, "part int, sequences string, docs string, n_docs long, n_tokens long"), "token-manifest")
+    return stored(map_arrow(ordered, run, "part int, sequences string, docs string, n_docs long, n_tokens long, id_type string"), "token-manifest")
 
 
-def read_tokens(manifest: DataFrame, uri: str, id_type: str = "bigint") -> DataFrame:
+def read_tokens(manifest: DataFrame, uri: str) -> DataFrame:
     """id, start, n_tokens and ids_crc32 of each document, all from the files. The manifest has a row for each file; the driver adds up their lengths."""
     spark = manifest.sparkSession
-    rows, base = [], 0
+    rows, base, id_type = [], 0, "bigint"
     for r in manifest.orderBy("part").collect():
         rows.append((r.part, r.sequences, r.docs, base))
-        base += r.n_tokens
+        base, id_type = base + r.n_tokens, r.id_type
     if not rows:
         return spark.createDataFrame([], f"id {id_type}, start long, n_tokens long, ids_crc32 long")
     files = spark.createDataFrame(rows, "part int, sequences string, docs string, base long").repartitionByRange(len(rows), "part")
@@ -233,22 +233,23 @@ def read_tokens(manifest: DataFrame, uri: str, id_type: str = "bigint") -> DataF
     def run(batches):
         for batch in batches:
             for f in batch.to_pylist():
-                found = []
-                for doc_id, start, n, blocks in TokenFile(uri, f["sequences"], f["docs"]).documents():
+                found, file = [], TokenFile(uri, f["sequences"], f["docs"])
+                kind = file.docs.schema.field("id").type
+                for doc_id, start, n, blocks in file.documents():
                     crc = 0
                     for ids in blocks:
                         crc = zlib.crc32(ids.astype("<u4").tobytes(), crc)
                     found.append((doc_id, f["base"] + start, n, crc))
                     if len(found) == 10_000:
-                        yield _rows(found)
+                        yield _rows(found, kind)
                         found = []
-                yield _rows(found)
+                yield _rows(found, kind)
 
-    return files.mapInArrow(run, f"id {id_type}, start long, n_tokens long, ids_crc32 long")
+    return map_arrow(files, run, f"id {id_type}, start long, n_tokens long, ids_crc32 long")
 
 
-def _rows(found: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], pa.int64() if k or not found or isinstance(found[0][0], int) else None) for k in range(4)], names=["id", "start", "n_tokens", "ids_crc32"])
+def _rows(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], pa.int64() if k else kind) for k in range(4)], names=["id", "start", "n_tokens", "ids_crc32"])
 
 
 def default_path() -> str:

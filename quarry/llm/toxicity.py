@@ -18,6 +18,7 @@ replaced.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import Bounded
-from .shared import documents, stored
+from .shared import documents, map_arrow, stored, worker_keeps
 
 MAX_LABELLED = 20_000
 MAX_TERMS = 4_000
@@ -211,6 +212,7 @@ class Model:
     trees: Trees | None
     points: tuple[np.ndarray, np.ndarray] | None
     share: float
+    mark: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         if self.trees is None:
@@ -255,22 +257,24 @@ def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS, least: int = 4) -
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
         return {}
-    counts = rows.select("text", "toxic").mapInArrow(count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = map_arrow(rows.select("text", "toxic"), count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     weight = F.log((F.col("pos") + 0.5) / (pos + 1.0)) - F.log((F.col("neg") + 0.5) / (neg + 1.0))
     kept = counts.where(F.col("pos") >= least).withColumn("weight", weight).where("weight > 1.5 and pos > 0.5 * neg")
     return {r.term: float(r.weight) for r in kept.orderBy(F.desc(F.col("weight") * F.sqrt("pos")), "term").limit(max_terms).collect()}
 
 
 def _features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
+    mark = uuid.uuid4().hex
+
     def run(batches):
         import pyarrow as pa
 
-        make = Features(lexicon)
+        make = worker_keeps(("features", mark), lambda: Features(lexicon))
         for batch in batches:
             x = [make.of(t.as_py()).tolist() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "toxic", "part"])
 
-    return rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("part").cast("int").alias("part")).mapInArrow(run, "x array<double>, toxic int, part int")
+    return map_arrow(rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("part").cast("int").alias("part")), run, "x array<double>, toxic int, part int")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> Model:
@@ -298,14 +302,14 @@ def score_documents(df: DataFrame, model: Model, text_col: str = "text", out: st
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        make = Features(model.lexicon)
+        make = worker_keeps(("features", model.mark), lambda: Features(model.lexicon))
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 x = np.array([make.of(t.as_py()) for t in batch.column(text_col)])
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(model.scores(x), pa.float64())], names=[*names, out])
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField(out, T.DoubleType())]))
+    return map_arrow(df, run, T.StructType([*kept, T.StructField(out, T.DoubleType())]))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

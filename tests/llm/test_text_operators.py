@@ -231,3 +231,67 @@ def test_token_counts_query(spark, sf):
             n[1] += len(gpt.encode(d.text or "", add_special_tokens=False).ids)
     got = {(r.source, r.lang): [r.documents, r.tokens] for r in token_counts.op8_token_counts(spark, sf).collect()}
     assert got == sums
+
+
+def test_blocks_do_not_change_tokens(clip, monkeypatch):
+    monkeypatch.setattr(bpe, "TEXT_BLOCK", 50)
+    monkeypatch.setattr(bpe, "PIECES", 7)
+    codec, rng = bpe.Codec(bpe.read_spec(bpe.default_path())), random.Random(8)
+    letters = "aaabcdeeinorst'’.,!    \n\t\x1c\x85\xa0e\u0301\u0323ßΣσ日本😀İ0½²_-AB" + "<|startoftext|>"
+    for _ in range(300):
+        text = "".join(rng.choice(letters) for _ in range(rng.randrange(600)))
+        text = rng.choice([text, text.replace(" ", ""), text + "ab" * 400 + "!?" * 300])
+        ids = clip.encode(text, add_special_tokens=False).ids
+        assert codec.encode(text) == ids
+        n, of_ids, of_text = bpe._digest(codec, text)
+        assert n == len(ids) and of_ids == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert of_text == hashlib.sha256(clip.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_decoder_does_not_depend_on_its_calls(clip):
+    codec, rng = bpe.Codec(bpe.read_spec(bpe.default_path())), random.Random(3)
+    ids = [rng.randrange(49_000) for _ in range(3000)] + [10**9]
+    machine, at, out = bpe.Decoder(codec), 0, []
+    while at < len(ids):
+        n = rng.randrange(0, 40)
+        out.append(machine.text(ids[at : at + n]))
+        at += n
+    assert "".join(out) + machine.end() == clip.decode(ids[:-1], skip_special_tokens=False)
+
+
+def test_long_text_is_held_in_blocks():
+    import tracemalloc
+
+    codec = bpe.Codec(bpe.read_spec(bpe.default_path()))
+    words = [f"{a}{b} " for a in ("some", "more", "other") for b in ("thing", "word", "time")]
+    peak = []
+    for n in (400_000, 4_000_000):
+        text = "".join(words[k % 9] for k in range(n // 9))
+        bpe._digest(codec, "warm up")
+        tracemalloc.start()
+        bpe._digest(codec, text)
+        peak.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peak[1] < 1.3 * peak[0] and peak[1] < 4_000_000
+
+
+def test_full_tables_drop_their_older_half():
+    table = bpe.Bounded(lambda k: k * 2, 10)
+    assert [table[k] for k in range(25)] == [2 * k for k in range(25)] and len(table) <= 10 and table[0] == 0
+
+
+def test_token_files_of_text_ids_and_one_hot_id(spark, tmp_path):
+    rows = [("a", f"text {k}") for k in range(300)] + [("b", "x"), (None, "y"), ("c", None)]
+    uri = f"file://{tmp_path}/t"
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_tokens(df, uri, token_files.default_path())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = token_files.read_tokens(manifest, uri).orderBy("start").collect()
+    assert [r.id for r in got] == [None, *["a"] * 300, "b", "c"] and manifest.count() > 2
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
