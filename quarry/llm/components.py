@@ -29,6 +29,12 @@ def _small_star(edges: DataFrame, limit: int) -> DataFrame:
     return met.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every component is a star around its smallest node: larger nodes have one edge, and none leads to them."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of `edges` (a, b): the smallest node that it can reach.
 
@@ -36,13 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
     Empty input: empty output. Loops and repeated edges do no harm.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if state == before or not state.n:
-            break
-        before = state
-        limit = heavy_limit(2 * state.n)
+    while not _settled(now):
+        limit = heavy_limit(2 * now.count())
         old, now = now, stored(_small_star(_large_star(now, limit), limit).where("a <> b").distinct(), "edges")
         discard(old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

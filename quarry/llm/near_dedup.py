@@ -7,13 +7,12 @@ random order of its own (densification). Bins are cut into bands; texts that agr
 Texts with equal sets are one class, so that copies never meet in pairs. Within a bucket each class is
 paired with the bucket's first and last class alone: a bucket of m classes gives fewer than 2 m pairs. Pairs
 whose sizes rule the similarity out are dropped, which loses nothing; the others are confirmed on full sets.
-A second round pairs what the first left apart: classes of a bucket that lie in different components, with
-another choice of centres. What is still apart in a bucket then is met in full: every member outside the
+What is still apart in a bucket then is met in full: every member outside the
 bucket's largest group with every member of another group, in tiles, each pair in the first bucket that it
 shares alone, so that no possible pair of a bucket stays untested. A tile compares bit maps of the sets: bits
 that differ are no more than shingles that differ, so that a pair whose bits differ too much can't be linked and
-goes no further. The others are confirmed in turns, first one of each two groups, then four times as many a turn;
-pairs that a turn has linked are dropped. With 32 bands of 5 bins, two texts of similarity 0.8 share no bucket with
+goes no further. The others are confirmed, in turns if they are many: first one of each two groups, then four times
+as many a turn, without the pairs that a turn has linked. With 32 bands of 5 bins, two texts of similarity 0.8 share no bucket with
 a probability of 3 in a million, and about ten buckets on average; this is the only loss of the whole method.
 
 Only the texts of classes that share a bucket are read again, once, for their sets; a bit table of bounded size
@@ -45,7 +44,7 @@ BLOCK = 1 << 20
 #: Rows on either side of a tile, on average. Pairs confirmed at once: for each class, and at least.
 TILE, SLICE, LEAST = 2048, 0.5, 20_000
 #: Bytes of bit maps that a tile compares at once.
-COMPARED = 1 << 24
+COMPARED = 1 << 21
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -196,8 +195,8 @@ def _tile(few, others, percent: int) -> tuple[np.ndarray, np.ndarray]:
         i, j = np.nonzero(open_)
         if band and len(i):  # each pair in the first bucket that it shares
             first = np.ones(len(i), bool)
-            for k in range(0, len(i), 1 << 18):
-                own = slice(k, k + (1 << 18))
+            for k in range(0, len(i), 1 << 13):
+                own = slice(k, k + (1 << 13))
                 first[own] = ~(few["bands"][at + i[own], :band] == others["bands"][j[own], :band]).any(1)
             i, j = i[first], j[first]
         if len(i):
@@ -298,15 +297,14 @@ def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
     return near.join(ids, "id", "left_semi")
 
 
-def _centres(rows: DataFrame, order) -> DataFrame:
-    """For each bucket of several groups (bucket, rep, n, group) their number m, and the first and the last in the order."""
-    member = F.struct(order.alias("o"), "rep", "n", "group")
-    return rows.groupBy("bucket").agg(F.count("*").alias("m"), F.min(member).alias("lo"), F.max(member).alias("hi"), F.min("group").alias("g1"), F.max("group").alias("g2")).where("m > 1 and g1 <> g2").drop("g1", "g2")
+def _centres(rows: DataFrame) -> DataFrame:
+    """For each bucket of several classes (bucket, rep, n) their number m, and the first and the last."""
+    return rows.groupBy("bucket").agg(F.count("*").alias("m"), F.min(F.struct("rep", "n")).alias("lo"), F.max(F.struct("rep", "n")).alias("hi")).where("m > 1")
 
 
 def _pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of each member with its bucket's centres, if their groups differ and sizes allow a link."""
-    met = members.select("rep", "n", "group", F.explode(F.array("lo", "hi")).alias("c")).where("c.group <> group")
+    """(a, b) of each member with its bucket's centres, if sizes allow a link."""
+    met = members.select("rep", "n", F.explode(F.array("lo", "hi")).alias("c"))
     possible = (F.col("n") * 100 >= percent * F.col("c.n")) & (F.col("c.n") * 100 >= percent * F.col("n"))
     return met.where(possible).select(F.least("rep", "c.rep").alias("a"), F.greatest("rep", "c.rep").alias("b")).where("a <> b").distinct()
 
@@ -338,7 +336,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of which the sets' intersection is `percent` of their union or more. sets: id, n, shingles. A class that is in very many pairs is no task of its own."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("__n1"), F.col("shingles").alias("__s1"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("__n2"), F.col("shingles").alias("__s2"))
-    limit = heavy_limit(0)
+    limit = heavy_limit(pairs.count())
     both = salted_join(salted_join(pairs.select("a", "b"), "a", left, limit), "b", right, limit).withColumn("__common", F.size(F.array_intersect("__s1", "__s2")))
     return stored(both.where(F.col("__common") * 100 >= percent * (F.col("__n1") + F.col("__n2") - F.col("__common"))).select("a", "b"), "near-links")
 
@@ -351,8 +349,7 @@ def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     usable = table.where("n > 0 and id is not null")
     classes = stored(usable.groupBy("key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "near-classes")
     places = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    places = places.withColumn("group", F.col("rep"))
-    centres = stored(_centres(places, F.col("rep")), "near-centres")
+    centres = stored(_centres(places), "near-centres")
     limit = heavy_limit(BANDS * classes.count())
     members = stored(weighted_join(places, "bucket", centres, "m", limit), "near-members")
     ids = stored(members.select(F.col("rep").alias("id")).distinct(), "near-ids")
@@ -363,33 +360,31 @@ def find_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     grouped = lambda: members.select("bucket", "rep", "n").join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("group"))
     joined = lambda more: stored(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "near-labels")
     left = stored(grouped(), "near-grouped")
-    apart = stored(_centres(left, F.xxhash64("bucket", "rep")), "near-centres")
-    second = stored(_pairs(weighted_join(left, "bucket", apart, "m", limit), percent).join(first, ["a", "b"], "left_anti"), "near-pairs")
-    more = _confirm(second, sets, percent)
-    if not more.isEmpty():
-        labels = joined(more)
-    discard(left)
-    left = stored(grouped(), "near-grouped")
-    rest = stored(_apart(left, sets, id_type, percent, limit).join(first, ["a", "b"], "left_anti").join(second, ["a", "b"], "left_anti"), "near-rest")
-    discard(centres, members, left, apart, first, second, links, more, ids)
+    rest = stored(_apart(left, sets, id_type, percent, limit).join(first, ["a", "b"], "left_anti"), "near-rest")
+    discard(centres, members, left, first, links, ids)
     once, quota, turn = max(LEAST, int(SLICE * classes.count())), 1, 0
     while True:
         turn += 1
-        open_, mark = _ungrouped(rest, labels), F.xxhash64("a", "b", F.lit(turn))
-        picked = stored(open_.groupBy("g1", "g2", F.pmod(mark, F.lit(quota)).alias("q")).agg(F.min_by("a", mark).alias("a"), F.min_by("b", mark).alias("b")).select("a", "b"), "near-picked")
-        n = picked.count()
+        open_, mark = stored(_ungrouped(rest, labels), "near-open"), F.xxhash64("a", "b", F.lit(turn))
+        discard(rest)
+        n = open_.count()
+        if n > once:
+            few = open_.groupBy("g1", "g2", F.pmod(mark, F.lit(quota)).alias("q")).agg(F.min_by("a", mark).alias("a"), F.min_by("b", mark).alias("b"))
+            picked = stored(few.select("a", "b"), "near-picked")
+            n = picked.count()
+        else:  # no more than a turn confirms: all of them
+            picked = open_
         if not n:
-            discard(picked)
             break
         slices = -(-n // once)
         now = picked.where(F.pmod(F.xxhash64("b", "a", F.lit(turn)), F.lit(slices)) == 0)
         more = _confirm(now, sets, percent)
-        old, rest = rest, stored(open_.select("a", "b").join(now, ["a", "b"], "left_anti"), "near-rest")
+        rest = stored(open_.select("a", "b").join(now, ["a", "b"], "left_anti"), "near-rest")
         if not more.isEmpty():
             labels = joined(more)
-        discard(old, more, picked)
+        discard(more, *({picked, open_}))
         quota *= 4 if slices == 1 else 1
-    discard(rest, sets)
+    discard(open_, sets)
     of_class = classes.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
     found = usable.select("id", "n", "key").join(of_class, "key").select("id", "n", "component")
     rest = table.where("not (n > 0 and id is not null)").select("id", "n", F.col("id").alias("component"))
