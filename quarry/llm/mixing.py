@@ -6,10 +6,11 @@ to be filled is met per source from the counts alone: a like share of every size
 sizes that still fit, and the remaining budget by bounded-knapsack dynamic programming over the counts left.
 Which documents of a size are taken is fixed by a seeded hash: those up to a threshold (hash, id), which is
 found from counts of hash ranges, so that no size, however frequent, is ranked in one task. Deciding about
-a row takes its own hash and the plan's row for its source and size.
+a row takes its own hash and the plan's row for its source and size. Where rows that share an id lie on the
+threshold and only some of them are to be taken, those rows are stored and numbered.
 
-Defined cases. Null text has size 0 and null source is a source of its own, the last. Rows of one source
-with the same size and id are taken alike. Empty sources and empty input have target 0 and take nothing.
+Defined cases. Null text has size 0 and null source is a source of its own, the last. Of rows of one source
+with the same size and id that lie on the threshold, the first in the order of the input are taken. Empty sources and empty input have target 0 and take nothing.
 Input columns with the name of a result column are replaced.
 """
 
@@ -155,30 +156,47 @@ def plan_mix(sizes: DataFrame, seed: int = SEED) -> DataFrame:
     so_far = F.expr("sum(count) over (partition by of, long order by range rows unbounded preceding)")
     border = ranges.withColumn("upto", so_far).where("upto >= more and upto - count < more").select(F.col("of").alias("in_source"), F.col("long").alias("in_size"), F.col("range").alias("in_range"), (F.col("more") - F.col("upto") + F.col("count")).alias("n"))
     inside = rows.join(border, F.col("of").eqNullSafe(F.col("in_source")) & (F.col("long") == F.col("in_size")) & (F.col("range") == F.col("in_range")))
-    ranked = inside.withColumn("rank", F.expr("row_number() over (partition by of, long order by hash, id)"))
-    last = ranked.where("rank = n").select("of", "long", F.struct("hash", "id").alias("edge"))
+    equal = inside.groupBy("of", "long", "n", "hash", "id").count().withColumn("upto", F.expr("sum(count) over (partition by of, long order by hash, id rows unbounded preceding)"))
+    last = equal.where("upto >= n and upto - count < n").select("of", "long", F.struct("hash", "id").alias("edge"), (F.col("n") - F.col("upto") + F.col("count")).alias("need"), F.col("count").alias("among"))
     full = F.struct(F.lit((1 << 63) - 1).alias("hash"), F.lit(None).cast(sizes.schema["id"].dataType).alias("id"))
     none = F.struct(F.lit(-1).cast("long").alias("hash"), F.lit(None).cast(sizes.schema["id"].dataType).alias("id"))
     joined = plan.join(last, F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("long")), "left")
     edge = F.when(F.col("more") == 0, none).when(F.col("more") >= F.col("count"), full).otherwise(F.col("edge"))
-    return stored(joined.select("source", "size", "source_size", "target", "base", edge.alias("edge")), "mix-plan")
+    some_of = F.when(F.col("need") < F.col("among"), F.col("need"))  # null: all rows on the threshold
+    return stored(joined.select("source", "size", "source_size", "target", "base", edge.alias("edge"), some_of.alias("need")), "mix-plan")
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
     """`df`, or its columns `keep`, with size, source_size, target and int copies (0, 1 or 2)."""
     sizes = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size")).withColumn("hash", _hash("id", seed))
     sizes = stored(sizes, "mix-sizes")
-    plan = plan_mix(sizes, seed).select(F.col("source").alias("__source"), F.col("size").alias("__size"), "source_size", "target", F.col("base").alias("__base"), F.col("edge").alias("__edge"))
+    plan = plan_mix(sizes, seed).select(F.col("source").alias("__source"), F.col("size").alias("__size"), "source_size", "target", F.col("base").alias("__base"), F.col("edge").alias("__edge"), F.col("need").alias("__need"))
     names = [c for c in (keep or df.columns) if c not in ("size", "source_size", "target", "copies")]
     if keep and set(keep) <= {id_col, source_col}:
         rows = sizes.withColumn("__hash", F.col("hash")).select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "__hash")
     else:
         rows = df.select(*names, *(c for c in {id_col, source_col} if c not in names), size_of(F.col(text_col)).alias("size")).withColumn("__hash", _hash(id_col, seed))
+    split = not plan.where("__need is not null").isEmpty()
     if plan.count() <= SMALL_PLAN:
         plan = F.broadcast(plan)
     rows = rows.join(plan, F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("size") == F.col("__size")))
-    extra = (F.struct(F.col("__hash").alias("hash"), F.col(id_col).alias("id")) <= F.col("__edge")).cast("int")
-    return rows.select(*names, "size", "source_size", "target", (F.col("__base") + extra).alias("copies"))
+    own = F.struct(F.col("__hash").alias("hash"), F.col(id_col).alias("id"))
+    chosen = lambda some, extra: some.select(*names, "size", "source_size", "target", (F.col("__base") + extra.cast("int")).alias("copies"))
+    if not split:
+        return chosen(rows, own <= F.col("__edge"))
+    on = F.col("__need").isNotNull() & (own == F.col("__edge"))
+    return chosen(rows.where(~on), own <= F.col("__edge")).unionByName(chosen(_numbered(rows.where(on)), F.col("__number") <= F.col("__need")))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows of each __source and __size with __number, from 1 in the order of the input. They are stored; each task numbers its own, behind those of the tasks before."""
+    rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "mix-ties").withColumn("__task", F.shiftright("__row", 33))
+    counts = rows.groupBy("__source", "__size", "__task").count()
+    before = counts.withColumn("__before", F.expr("sum(count) over (partition by __source, __size order by __task rows unbounded preceding) - count"))
+    before = F.broadcast(before.select(F.col("__source").alias("__s"), F.col("__size").alias("__z"), F.col("__task").alias("__t"), "__before"))  # a row for each task of each split size
+    inside = rows.withColumn("__in", F.expr("row_number() over (partition by __source, __size, __task order by __row)"))
+    both = inside.join(before, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z")) & (F.col("__task") == F.col("__t")))
+    return both.withColumn("__number", F.col("__in") + F.col("__before"))
 
 
 def mixed(df: DataFrame, **options) -> DataFrame:

@@ -59,10 +59,10 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df` written as a Parquet table in the shared folder and read again: a lost executor loses nothing of it."""
+def stored(df: DataFrame, name: str, folders: str = "") -> DataFrame:
+    """`df` written as a Parquet table in the shared folder and read again: a lost executor loses nothing of it. A column `folders` has a folder for each of its values."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(folders) if folders else df.write).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.quarry_path = path
     return table

@@ -20,7 +20,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .exact_dedup import find_copies
+from .exact_dedup import mark_copies, text_sha256
 from .shared import documents, map_arrow, remove, scratch, stored
 from .token_files import default_path, encoder_of, read_spec
 
@@ -72,12 +72,16 @@ class Rollup:
             raise ValueError(f"not a batch name: {batch}")
         if batch in self.committed():
             return False
-        signed(changes).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batch/{batch}")
+        signed(changes).write.mode("overwrite").parquet(f"{self.root}/batch/{batch}")
         return True
 
     def totals(self) -> DataFrame:
+        return self._sums(self._folders("batch"))
+
+    def _sums(self, batches: list[str]) -> DataFrame:
+        """Sums of the base and of those batches that are not in it."""
         base, inside = self._base()
-        paths = [f"{self.root}/batch/{b}" for b in self._folders("batch") if b not in inside]
+        paths = [f"{self.root}/batch/{b}" for b in batches if b not in inside]
         paths += [f"{self.root}/base/{base}"] if base else []
         if not paths:
             return self.spark.createDataFrame([], DELTA)
@@ -85,14 +89,13 @@ class Rollup:
         return sums.where("documents <> 0 or tokens <> 0")
 
     def fold(self) -> None:
-        """Puts all batches into a new base. The list of what it holds is written first; the base counts once its success file is there."""
-        base, names = self._base()[0], self.committed()
-        number = f"{int(base) + 1 if base else 0:012d}"
-        self.spark.createDataFrame([(json.dumps(names),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.root}/folded/{number}")
-        self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.root}/base/{number}")
-        for name in self._folders("batch"):
-            if name in names:
-                remove(self.spark, f"{self.root}/batch/{name}")
+        """Puts the batches that are there now into a new base; one that comes meanwhile stays a batch. The list of what the base holds is written first; the base counts once its success file is there."""
+        (base, inside), batches = self._base(), self._folders("batch")
+        number, sums = f"{int(base) + 1 if base else 0:012d}", self._sums(batches)
+        self.spark.createDataFrame([(json.dumps(sorted({*batches, *inside})),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.root}/folded/{number}")
+        sums.write.mode("overwrite").parquet(f"{self.root}/base/{number}")
+        for name in batches:
+            remove(self.spark, f"{self.root}/batch/{name}")
 
 
 def count_tokens(df: DataFrame, path: str, tokenizer: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -115,20 +118,31 @@ def count_tokens(df: DataFrame, path: str, tokenizer: str, text_col: str = "text
     return map_arrow(df, run, T.StructType([*kept, T.StructField("tokenizer", T.StringType()), T.StructField("n_tokens", T.LongType())]))
 
 
-def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after every document came in, the first batch came a second time, and copies of equal texts went out."""
-    docs = documents(spark, sf_dir)
-    counted = stored(count_tokens(docs, default_path(), "byte_bpe_50k", keep=["doc_id", "source", "lang"]), "token-counts")
-    rollup = Rollup(spark, scratch(spark, "rollup"))
-    none = F.lit(None).cast("long").alias("old_tokens")
-    inserts = counted.select(F.lit("insert").alias("op"), *KEYS, "n_tokens", none)
-    copies = find_copies(docs).where("not kept").select("doc_id")
-    deletes = counted.join(copies, "doc_id").select(F.lit("delete").alias("op"), *KEYS, "n_tokens", none)
-    rollup.commit("load", inserts)
-    rollup.commit("load", inserts)
-    rollup.commit("copies", deletes)
+def corpus_totals(docs: DataFrame, root: str, path: str, tokenizer: str) -> DataFrame:
+    """Totals of `docs` (doc_id, text, lang, source) after every row came in with an estimate, a token for four characters, that batch came
+    a second time, copies of equal texts went out, and the estimates of what stays were revised to the tokenizer's counts.
+
+    Batches are made of the stored counts row by row, so that null and repeated ids do no harm: of equal texts one row stays.
+    """
+    spark = docs.sparkSession
+    texts = docs.select("doc_id", "source", "lang", "text", text_sha256(F.col("text")).alias("sha"), F.floor(F.coalesce(F.length("text"), F.lit(0)) / 4).alias("estimate"))
+    counted = count_tokens(texts, path, tokenizer, keep=["doc_id", "source", "lang", "sha", "estimate"]).withColumnRenamed("doc_id", "id").withColumn("row", F.monotonically_increasing_id())
+    counted = stored(counted, "token-counts")
+    marked = stored(mark_copies(counted).select(*KEYS, "n_tokens", "estimate", "kept"), "token-copies")
+    change = lambda rows, op, n, old: rows.select(F.lit(op).alias("op"), *KEYS, n.alias("n_tokens"), old.cast("long").alias("old_tokens"))
+    n, estimate, none = F.col("n_tokens"), F.col("estimate"), F.lit(None)
+    rollup = Rollup(spark, root)
+    rollup.commit("load", change(counted, "insert", estimate, none))
+    rollup.commit("load", change(counted, "insert", estimate, none))
+    rollup.commit("copies", change(marked.where("not kept"), "delete", estimate, none))
+    rollup.fold()
+    rollup.commit("counts", change(marked.where("kept"), "revise", n, estimate))
     return rollup.totals()
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_totals(documents(spark, sf_dir), scratch(spark, "rollup"), default_path(), "byte_bpe_50k")
+
+
 QUERIES = {"op8_token_counts": op8_token_counts}
 SQL: dict[str, str] = {}

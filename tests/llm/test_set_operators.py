@@ -354,3 +354,31 @@ def test_salted_join(spark):
     table = spark.range(60).selectExpr("id as k", "id * 10 as w")
     got = salted_join(rows, "k", table, 300)
     assert got.count() == 5000 and got.where("w <> k * 10").count() == 0 and set(got.columns) == {"k", "v", "w"}
+
+
+@pytest.mark.parametrize("rows", [[(5, "w w w w w", "a")] * 1000 + [(k, "v " * (k % 7), "b") for k in range(400)], [(k % 3, "w " * (1 + k % 2), "a" if k % 5 else None) for k in range(900)]])
+def test_mix_of_repeated_ids(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    for found in (mixing.mix(df), mixing.mix(df, keep=["doc_id"]), mixing.mix(df.withColumn("m", F.create_map(F.lit("a"), F.lit(1))))):
+        got = found.collect()
+        assert len(got) == len(rows) and all(0 <= r.copies <= 2 for r in got)
+        taken = {}
+        for r in got:
+            own = taken.setdefault((r.source_size, r.target), [0])
+            own[0] += r.size * r.copies
+        assert all(abs(target - own[0]) <= 6 for (_, target), own in taken.items())
+
+
+def test_exact_copies_with_columns_without_order(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "A", 4), (2, "a", 6), (3, "b", 1)], "doc_id long, text string, z int").withColumn("m", F.create_map(F.lit("k"), F.col("z")))
+    got = sorted((r.doc_id, r.text, r.z, r.m["k"]) for r in exact_dedup.drop_copies(df).collect())
+    assert got == [(2, "a", 6, 6), (3, "b", 1, 1)]
+
+
+def test_tables_in_slices_let_single_rows_pass(spark):
+    from quarry.llm.shared import stored
+
+    keys = stored(spark.range(4000).selectExpr("sha2(cast(if(id < 3800, id, id - 3800) as string), 256) as sha"), "test-keys")
+    marked = exact_dedup.flagged_keys(keys, "sha", 4000, 1 << 14)
+    assert marked.count() == 4000 and 400 <= marked.where("__maybe").count() < 650
+    assert marked.where("__maybe").groupBy("sha").count().where("count > 1").count() == 200

@@ -295,3 +295,31 @@ def test_token_files_of_text_ids_and_one_hot_id(spark, tmp_path):
     for r in got:
         assert r.start == at
         at += r.n_tokens
+
+
+def test_totals_of_repeated_and_null_ids(spark, tmp_path):
+    rows = [(1, "one two", "en", "s"), (1, "one two", "en", "s"), (1, "One two", "en", "t"), (2, "three", "de", "s"), (None, "four five six", None, None), (None, "four five six", None, None), (3, None, "en", "s"), (4, "", "en", "t")]
+    gpt = Tokenizer.from_file(token_files.default_path())
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {(r.source, r.lang): (r.documents, r.tokens) for r in token_counts.corpus_totals(df, f"file://{tmp_path}/r", token_files.default_path(), "t").collect()}
+    n = lambda text: len(gpt.encode(text, add_special_tokens=False).ids)
+    # of the three equal texts of id 1 one stays, and of "" and null the one with the larger id, 4
+    expected = []
+    for a, b in ((1, 0), (0, 1)):
+        want = {("s", "de"): (1, n("three")), (None, None): (1, n("four five six")), ("t", "en"): (1 + b, b * n("One two"))}
+        expected.append(want | ({("s", "en"): (1, n("one two"))} if a else {}))
+    assert got in expected
+
+
+def test_fold_leaves_batches_that_come_meanwhile(spark, tmp_path):
+    rollup = token_counts.Rollup(spark, f"file://{tmp_path}/f")
+    change = lambda n: spark.createDataFrame([("insert", "s", "en", "t", n, None)], "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long")
+    rollup.commit("a", change(5))
+    listed = rollup._folders
+    rollup._folders = lambda kind: [x for x in listed(kind) if x != "b"]
+    rollup.commit("b", change(7))
+    rollup.fold()
+    rollup._folders = listed
+    assert [tuple(r) for r in rollup.totals().select("documents", "tokens").collect()] == [(2, 12)]
+    rollup.fold()
+    assert [tuple(r) for r in rollup.totals().select("documents", "tokens").collect()] == [(2, 12)] and rollup.committed() == ["a", "b"]
