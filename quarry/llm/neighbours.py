@@ -7,10 +7,12 @@ on held-out vectors of the sample, was enough to reach 96 % of their neighbours.
 thus cost more visits, not recall. What a query meets there is ranked by exact distance in double precision
 on the original vectors.
 
-Every row is indexed. The sample (10,000 vectors, those of smallest hash) and the number of parts (512 at
-most) are parameters and the only bounds. Of vectors that are equal in every component only those of the k + 1
-smallest ids, and k rows of each id, can be among k nearest with ties to the smaller id, so no more of them are
-compared; this drops no result. Parts are compared in tiles of candidates and queries, so that a large part is many tasks.
+Every row is indexed. The sample (10,000 vectors, those of smallest hash) is a parameter and the only bound: a part
+has 250 rows, or as many more as let a twentieth of the sample's rows be parts. Of vectors that are equal in every
+component only those of the k + 1 smallest ids, and k rows of each id, can be among k nearest with ties to the
+smaller id, so no more of them are compared; this drops no result, and only vectors of a hash that more than k rows
+have are brought together for it. Parts are compared in tiles of candidates and queries, so that a large part is
+many tasks, and a tile gives the k nearest of each query.
 
 Defined cases. Vectors that are null, empty, zero, hold null or non-finite components, or have not the most
 common length take no part, nor do rows without id. Ties go to the smaller id. Rows that share an id are
@@ -29,8 +31,11 @@ from pyspark.sql import functions as F
 from .shared import map_arrow, stored
 
 SAMPLE = 10_000
-PART_ROWS = 3_000
-MAX_PARTS = 512
+PART_ROWS = 250
+#: Rows of the sample for each part.
+LEARNT_FROM = 20
+#: Hashes of crowded vectors that are broadcast; more are joined by hash.
+CROWDED = 200_000
 #: Share of a held-out sample's neighbours that the parts visited must hold; parts that a query visits at least.
 RECALL, PROBES = 0.96, 2
 #: Rows on either side of a tile, on average.
@@ -174,9 +179,9 @@ class Index:
         return order, np.maximum((sums < self.mass).sum(1) + 1, min(PROBES, self.parts)).clip(max=self.parts)
 
 
-def fit_index(x: np.ndarray, rows: int, part_rows: int = PART_ROWS, recall: float = RECALL) -> Index:
+def fit_index(x: np.ndarray, rows: int, part_rows: int | None = None, recall: float = RECALL) -> Index:
     """x: the sample; rows: those of the table. A fifth of the sample is held out to find the probability that visits must hold."""
-    parts = int(min(MAX_PARTS, rows // part_rows, len(x) // 40))
+    parts = int(min(rows // (part_rows or PART_ROWS), len(x) // LEARNT_FROM))
     if parts < 2:
         return Index(1, x.shape[1] if x.ndim == 2 else 0, None, 1.0)
     held, rest = x[: len(x) // 5], x[len(x) // 5 :]
@@ -214,8 +219,12 @@ def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     good = good.where(F.size("v") == common.dim)
-    few = good.withColumn("__n", F.expr("dense_rank() over (partition by v order by id)")).where(F.col("__n") <= k + 1)
-    few = few.withColumn("__n", F.expr("row_number() over (partition by v, id order by id)")).where(F.col("__n") <= k)
+    hashed = good.withColumn("__h", F.xxhash64("v"))
+    crowded = stored(hashed.groupBy("__h").count().where(F.col("count") > k).select("__h"), "ann-crowded")
+    crowded = F.broadcast(crowded) if crowded.count() <= CROWDED else crowded
+    few = hashed.join(crowded, "__h", "left_semi").withColumn("__n", F.expr("dense_rank() over (partition by __h, v order by id)")).where(F.col("__n") <= k + 1)
+    few = few.withColumn("__n", F.expr("row_number() over (partition by __h, v, id order by id)")).where(F.col("__n") <= k)
+    few = hashed.join(crowded, "__h", "left_anti").select("id", "v").unionByName(few.select("id", "v"))
     base = stored(few.select("id", "v"), "ann-base")
     chosen = base.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
     index = fit_index(_matrix(chosen.column(0).combine_chunks(), common.dim) if chosen.num_rows else np.zeros((0, common.dim)), base.count())

@@ -382,3 +382,31 @@ def test_tables_in_slices_let_single_rows_pass(spark):
     marked = exact_dedup.flagged_keys(keys, "sha", 4000, 1 << 14)
     assert marked.count() == 4000 and 400 <= marked.where("__maybe").count() < 650
     assert marked.where("__maybe").groupBy("sha").count().where("count > 1").count() == 200
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_neighbours_of_the_tables(spark, scale):
+    df = spark.read.parquet(f"/root/testdata/{scale}/embeddings.parquet")
+    rows = df.orderBy("vec_id").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    index = neighbours.fit_index(x, len(x))
+    visits = np.mean([len(v) for v in index.visits(x[ids % 100 == 0])]) / index.parts
+    assert index.parts == len(x) // neighbours.PART_ROWS > 1 and 0 < visits <= 1
+    found = {}
+    for r in neighbours.search(df, F.col("vec_id") % 100 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in ids[ids % 100 == 0]:
+        d = ((x - x[ids == q]) ** 2).sum(1)
+        d[ids == q] = np.inf
+        hits += len(found[q] & set(ids[np.argsort(d, kind="stable")[:10]].tolist()))
+    print(scale, index.parts, visits, hits / (10 * len(found)))
+    assert hits / (10 * len(found)) >= 0.9
+
+
+def test_visits_are_few_where_vectors_have_structure():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(8000, 16)) * 0.3 + 3 * rng.normal(size=(60, 16))[rng.integers(0, 60, 8000)]
+    index = neighbours.fit_index(x, 8000)
+    visits = np.mean([len(v) for v in index.visits(x)]) / index.parts
+    assert index.parts == 32 and visits < 0.25
