@@ -29,8 +29,15 @@ def sections(parts: dict[str, DataFrame | str]) -> str:
     return "\n\n".join(f"## {title}\n\n{part if isinstance(part, str) else markdown(part)}" for title, part in parts.items()) + "\n"
 
 
-def as_json(parts: dict[str, DataFrame]) -> str:
-    return json.dumps({title: [r.asDict() for r in df.limit(1000).collect()] for title, df in parts.items()}, ensure_ascii=False, default=str)
+def as_json(parts: dict[str, DataFrame], most: int = 1000) -> str:
+    """A report's tables as JSON, whole: one of more than `most` rows is an error, since a report is read by the driver."""
+    found = {}
+    for title, df in parts.items():
+        rows = df.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} rows in {title}: write them as a table")
+        found[title] = [r.asDict(recursive=True) for r in rows]
+    return json.dumps(found, ensure_ascii=False, default=str)
 
 
 def expected_nodes(specs: dict[str, tuple[DataFrame, str] | int]) -> DataFrame:

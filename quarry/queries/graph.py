@@ -123,9 +123,8 @@ def edge_dedup_first(spark, sf):
 
 @query("""select 'conv' || conv_id || '#P' || lpad(turn::varchar, greatest(2, length(turn::varchar))::int, '0') as id, 'conv' || conv_id as parent, role, length(text)::int as n from conversations""")
 def node_edge_explode(spark, sf):
-    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    each = turns.select(F.concat(F.lit("conv"), "conv_id").alias("parent"), F.explode("turns").alias("x"))
-    return each.select(ids.ordinal_id("parent", "P", F.col("x.turn")).alias("id"), "parent", "x.role", F.length("x.text").alias("n"))
+    turns = table(spark, sf, "conversations").withColumn("parent", F.concat(F.lit("conv"), "conv_id"))
+    return turns.select(ids.ordinal_id("parent", "P", F.col("turn")).alias("id"), "parent", "role", F.length("text").alias("n"))
 
 
 @query("select event_id as src, nxt as dst from (select event_id, lead(event_id) over (partition by user_id order by ts, event_id) as nxt from events) where nxt is not null")
@@ -159,17 +158,9 @@ def reconcile_counts(spark, sf):
     return graph.reconcile(expected, actual, ["rel"])
 
 
-@query("""with h as (select distinct 'o' || l_orderkey as src, 'p' || l_partkey as dst from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority like '1%')
-select src, dst from (select *, row_number() over (partition by src order by dst) as r from h) where r <= 3""")
-def traverse_out(spark, sf):
-    urgent = table(spark, sf, "orders").where("o_orderpriority like '1%'").select(F.concat(F.lit("o"), "o_orderkey").alias("id"))
-    return traverse.first_hops(traverse.hop(urgent, _materials(spark, sf), "requires"), 3)
-
-
 @query("""with h as (select distinct 'o' || l_orderkey as src, 'p' || l_partkey as dst from lineitem join orders on l_orderkey = o_orderkey where o_orderpriority like '1%')
 select src, dst from (select *, row_number() over (partition by src order by dst) as r from h) where r <= 30""")
-def traverse_out_whole(spark, sf):
-    """traverse_out with the reference's bound."""
+def traverse_out(spark, sf):
     urgent = table(spark, sf, "orders").where("o_orderpriority like '1%'").select(F.concat(F.lit("o"), "o_orderkey").alias("id"))
     return traverse.first_hops(traverse.hop(urgent, _materials(spark, sf), "requires"))
 
@@ -218,23 +209,10 @@ def neighborhood_expand(spark, sf):
     return traverse.neighbourhood(start, edges, 2)
 
 
-@query("""with u as (select distinct o_orderkey, p_name from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey),
-r as (select *, row_number() over (partition by o_orderkey order by p_name) as r from u), l as (select o_orderkey, string_agg(p_name, '、' order by p_name) as names from r where r <= 4 group by 1)
-select o.o_orderkey, 'Order ' || o.o_orderkey || chr(10) || 'Customer: ' || c_name || chr(10) || 'Materials: ' || coalesce(names, '') as context from orders o join customer on o_custkey = c_custkey left join l on o.o_orderkey = l.o_orderkey""")
-def context_render(spark, sf):
-    t = lambda name: table(spark, sf, name)
-    named = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o_orderkey"), "p_name")
-    names = traverse.collected(named, "o_orderkey", F.col("p_name"), F.col("p_name"), 4, "names")
-    rows = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(names, "o_orderkey", "left")
-    text = F.concat_ws("\n", F.concat(F.lit("Order "), "o_orderkey"), F.concat(F.lit("Customer: "), "c_name"), F.concat(F.lit("Materials: "), F.coalesce("names", F.lit(""))))
-    return rows.select("o_orderkey", text.alias("context"))
-
-
 @query("""with u as (select distinct o_orderkey, p_name from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey),
 r as (select *, row_number() over (partition by o_orderkey order by p_name) as r from u), l as (select o_orderkey, string_agg(p_name, '、' order by p_name) as names from r where r <= 20 group by 1)
 select o.o_orderkey, 'Order ' || o.o_orderkey || chr(10) || 'Customer: ' || c_name || chr(10) || 'Materials: ' || coalesce(names, '') as context from orders o join customer on o_custkey = c_custkey left join l on o.o_orderkey = l.o_orderkey""")
-def context_render_whole(spark, sf):
-    """context_render with the reference's bound."""
+def context_render(spark, sf):
     t = lambda name: table(spark, sf, name)
     named = t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("o_orderkey"), "p_name")
     names = traverse.collected(named, "o_orderkey", F.col("p_name"), F.col("p_name"), LIMITS["material"], "names")
