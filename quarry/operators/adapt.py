@@ -12,10 +12,12 @@ from ..functions.text import first_filled, with_unit
 
 
 def _v(raw: str, path: str) -> Column:
-    """A scalar as text: null and structures are empty, booleans 是 or 否."""
-    value = F.try_variant_get(F.col(raw), path, "variant")
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(F.col(raw), path, "string")
+    return scalar(F.try_variant_get(F.col(raw), path, "variant"))
+
+
+def scalar(value: Column) -> Column:
+    """A variant as text: null and structures are empty, booleans 是 or 否."""
+    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
     flag = F.when(text == "true", "是").otherwise("否")
     return F.when(kind == "BOOLEAN", flag).when(F.substring(kind, 1, 5).isin("ARRAY", "OBJEC"), "").otherwise(F.coalesce(text, F.lit("")))
 
@@ -28,7 +30,7 @@ def _list(raw: str, path: str, fields: dict[str, Sequence[str]]) -> Column:
     return F.transform(objects, lambda x: F.struct(*(first_filled(*(one(x, k) for k in ks)).alias(name) for name, ks in fields.items())))
 
 
-def _channels(text: Column) -> Column:
+def channels(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
@@ -52,7 +54,7 @@ def materialise(lines: DataFrame, line: str = "line") -> DataFrame:
         pick(i("DEPT_NAME"), r("impl_org_name")).alias("org"),
         pick(i("SERVE_TYPE_TEXT"), r("service_object_text")).alias("target"),
         pick(first_filled(i("XHTSDZ"), _v("__raw", "$.AUDIT_CATALOG_LOBBY[0].ADDRESS")), _v("__raw", "$.window_list[0].address")).alias("address"),
-        pick(_channels(i("HANDLE_TYPE_TEXT")), _channels(r("application_channel_text"))).alias("channels"),
+        pick(channels(i("HANDLE_TYPE_TEXT")), channels(r("application_channel_text"))).alias("channels"),
         pick(i("ONLINECHECK_TEXT"), F.when(r("application_channel_text") == "", "").when(F.contains(r("application_channel_text"), F.lit("网上办理")), "是").otherwise("否")).alias("online"),
         pick(with_unit(i("PROMISE_DAY"), i("PROMISE_TYPE_TEXT")), with_unit(r("promise_time"), r("promise_time_unit_text"))).alias("promise"),
         pick(_list("__raw", "$.AUDIT_ITEM_FLOWSHEET", {"step": ["STEP_TEXT"], "link": ["UNTI_LINK_TEXT"], "handler": ["TRANSACTOR"]}), F.array().cast("array<struct<step:string,link:string,handler:string>>")).alias("steps"),
