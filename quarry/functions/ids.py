@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .text import SPACE, squeeze
@@ -46,3 +46,8 @@ def row_digest(df: DataFrame) -> Column:
 def table_digest(df: DataFrame) -> DataFrame:
     """rows and digest of a table, whatever the order of its rows."""
     return df.agg(F.count("*").alias("rows"), F.sum(row_digest(df).cast("decimal(38,0)")).alias("digest"))
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """file, bytes, sha256 of each file; a file is read whole by one task."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))

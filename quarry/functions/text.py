@@ -230,3 +230,22 @@ def json_array_text(c: Column | str) -> Column:
 
 def json_object_text(c: Column | str) -> Column:
     return F.nullif(F.regexp_extract(_col(c), r"(?s)(\{.*\})", 1), F.lit(""))
+
+
+def one_line(c: Column | str, kind: T.DataType) -> Column:
+    """A value of any type as one cell: null is empty, booleans true or false, structures compact JSON, other values stripped."""
+    c = _col(c)
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.coalesce(F.to_json(c, {"ignoreNullFields": "false"}), F.lit(""))
+    return F.coalesce(strip(c.cast("string")), F.lit(""))
+
+
+def split_quoted(c: Column | str, separator: str = ",") -> Column:
+    """The fields of a row of text: separators between quotes don't count; quotes and white space around a field go."""
+    parts = F.split(_col(c), separator + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    return F.transform(parts, lambda x: F.regexp_replace(strip(x), '^"+|"+$', ""))
+
+
+def record_hash(text: Column | str, own: str) -> Column:
+    """SHA-256 of a JSON object's canonical text with its own top-level hash field set empty."""
+    return F.sha2(canonical_json(F.to_json(F.map_concat(F.map_filter(F.from_json(_col(text), "map<string,string>"), lambda k, v: k != own), F.create_map(F.lit(own), F.lit(""))))), 256)

@@ -54,3 +54,10 @@ def bag_match(left: DataFrame, right: DataFrame, keys: Sequence[str], seq: str)
     for k in keys:
         on = on & (F.col(f"__a_{k}") == F.col(f"__b_{k}"))
     return a.join(b, on, "full_outer").select(*[F.coalesce(f"__a_{k}", f"__b_{k}").alias(k) for k in keys], "left_seq", "right_seq")
+
+
+def group_in_order(df: DataFrame, key: str, order: str, most: int | None = None) -> DataFrame:
+    """key and its rows as a list in their order; `most` bounds a key's list by its first rows, before the shuffle."""
+    rows = first_n(df, [key], [order], most) if most else df
+    place = F.struct(F.col(order).alias("__o"), F.struct(*[c for c in df.columns if c != key]).alias("__r"))
+    return rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(place)), lambda x: x["__r"]).alias("rows"))

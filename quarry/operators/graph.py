@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ids
-from ..functions.text import display_name, split_values, squeeze
+from ..functions.text import display_name, split_values, squeeze, strip
 from .dedup import first_wins
 
 # Kinds of matters that are administrative powers, and legal persons.
@@ -103,6 +104,53 @@ def routing(services: DataFrame, domain: str) -> tuple[DataFrame, DataFrame]:
     return nodes, edges
 
 
+def routing_tables(services: DataFrame, domain: str, name: str, scheme: str, entity_types: Sequence[str], relation_types: Sequence[str], version: str = "v1", schema_version: str = "v1", root: str = "根分类", other: str = "未分类") -> dict[str, DataFrame]:
+    """The routing layer as four node, six relation and three service relation tables. services: service_id, category_l2.
+
+    A domain has one scheme, a root category with a child for each distinct category, a base model and a profile for each child. Blank
+    categories are `other`, rows without service_id are in no service relation. Two categories that get one id are an error.
+    """
+    spark = services.sparkSession
+    text = lambda x: json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+    category, model = (lambda c: ids.category_id(F.lit(domain), c)), (lambda c: ids.model_id(F.lit(domain), c))
+    own = F.coalesce(F.nullif(strip("category_l2"), F.lit("")), F.lit(other))
+    names = services.select(own.alias("name")).distinct()
+    clash = names.groupBy(category("name").alias("id")).agg(F.count("*").alias("n"), F.min("name").alias("name")).where("n > 1").limit(5).collect()
+    if clash:
+        raise ValueError(f"categories with one id: {[r.name for r in clash]}")
+    one, active = spark.range(1), F.lit("ACTIVE").alias("status")
+    domain_id, v = F.lit(domain).alias("domain_id"), F.lit(version).alias("version")
+    root_id, base_id = category(F.lit(root)), model(F.lit("base"))
+    of = lambda c, a: F.lit(c).alias(a)
+    node = lambda rows, cid, title, level, parent, about: rows.select(cid.alias("category_id"), title.alias("name"), of(level, "category_level"), parent.alias("parent_category_id"), of(scheme, "scheme_id"), domain_id, about.alias("description"), active, v)
+    profile = lambda rows, mid, title, kind, cid, about, filters: rows.select(
+        mid.alias("model_id"), title.alias("name"), of(kind, "model_type"), domain_id, cid.alias("category_id"), v, about.alias("description"), of(schema_version, "schema_version"),
+        of(text(list(entity_types)), "enabled_entity_types"), of(text(list(relation_types)), "enabled_relation_types"), filters.alias("retrieval_filter"), of(text({"required": ["serviceId", "domainId", "categoryId"]}), "validation_profile"), active,
+    )
+    cid, mid, title = category("name"), model("name"), F.col("name")
+    child_filter = F.concat(F.lit(text({"domain_id": domain})[:-1] + ',"category_id":'), F.to_json(F.struct(cid.alias("c"))).substr(F.lit(6), F.length(F.to_json(F.struct(cid.alias("c")))) - 6), F.lit("}"))
+    edge = lambda rows, a, b: rows.select(a.alias("start_id"), b.alias("end_id"))
+    d = F.lit(domain)
+    used = services.where(strip("service_id") != "").select(strip("service_id").alias("sid"), own.alias("name"))
+    return {
+        "service_domains": one.select(domain_id, of(name, "name"), of(f"{name}政务服务领域统一知识模型", "description"), active, v),
+        "category_schemes": one.select(of(scheme, "scheme_id"), of(f"{name}分类体系", "name"), domain_id, of(f"{name}的分类体系", "description"), v),
+        "service_categories": node(one, root_id, F.lit(name), "1", F.lit(""), F.lit(f"{name}根分类")).unionByName(node(names, cid, title, "2", root_id, F.concat(F.lit(f"{name}："), title))),
+        "knowledge_models": profile(one, base_id, F.lit(f"{name}基础知识模型"), "DOMAIN_BASE", F.lit(""), F.lit(f"{name}共享基础模型"), F.lit(text({"domain_id": domain}))).unionByName(
+            profile(names, mid, F.concat(F.lit(f"{name}-"), title, F.lit("知识模型")), "CATEGORY_PROFILE", cid, F.concat(F.lit(f"面向{name}“"), title, F.lit("”分类的知识模型 Profile")), child_filter)
+        ),
+        "category_parent": edge(names, cid, root_id),
+        "category_belongs_to_scheme": edge(one, root_id, F.lit(scheme)).unionByName(edge(names, cid, F.lit(scheme))),
+        "category_belongs_to_domain": edge(one, root_id, d).unionByName(edge(names, cid, d)),
+        "model_applies_to_category": edge(names, mid, cid),
+        "model_belongs_to_domain": edge(one, base_id, d).unionByName(edge(names, mid, d)),
+        "model_extends_model": edge(names, mid, base_id),
+        "service_belongs_to_domain": edge(used, F.col("sid"), d),
+        "service_classified_as": edge(used, F.col("sid"), cid),
+        "service_uses_model": edge(used, F.col("sid"), mid),
+    }
+
+
 def id_collisions(nodes: DataFrame) -> DataFrame:
     """Ids that stand for more than one name."""
     return nodes.groupBy("type", "id").agg(F.count_distinct("name").alias("names")).where("names > 1")

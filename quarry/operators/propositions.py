@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,28 +46,56 @@ def prompt(title: str, service: str, doc: str, content: str, field: str, names:
     return F.concat(F.lit("事项："), head, F.lit("\n栏目："), label, F.lit("\n内容：\n"), F.col(content))
 
 
-def ask(df: DataFrame, prompt_col: str, client: Callable[[], Callable[[str], str]], retries: int = 1, wait: float = 0.0) -> DataFrame:
-    """`df` with reply and error. `client` makes a caller in each task; timeouts and lost connections are tried again."""
+class Refused(Exception):
+    """A reply of a service with a status; 429 and those from 500 on are worth another try."""
+
+    def __init__(self, status: int, text: str = ""):
+        super().__init__(f"status {status} {text}".strip())
+        self.status = status
+
+
+def tried(call: Callable[[str], str], text: str, retries: int, wait: float, check: Callable[[str], bool] | None) -> tuple[str | None, str | None]:
+    """reply, error. Timeouts, lost connections, busy services and replies that `check` does not take are tried again."""
+    error = None
+    for k in range(retries + 1):
+        try:
+            reply = call(text)
+            if check is None or check(reply):
+                return reply, None
+            error = "the reply has not the expected shape"
+        except (TimeoutError, ConnectionError, Refused) as e:
+            error = f"{type(e).__name__}: {e}"
+            if isinstance(e, Refused) and e.status != 429 and e.status < 500:
+                break
+        except Exception as e:  # noqa: BLE001  anything else is not tried again
+            error = f"{type(e).__name__}: {e}"
+            break
+        if k < retries and wait:
+            time.sleep(wait * 2**k)
+    return None, error
+
+
+def in_flight(call: Callable[[str], tuple], texts: Iterable[str], workers: int) -> Iterator[tuple]:
+    """Results in the order of the texts, with at most twice as many calls begun as there are workers."""
+    with ThreadPoolExecutor(workers) as pool:
+        waiting: deque = deque()
+        for text in texts:
+            waiting.append(pool.submit(call, text))
+            if len(waiting) >= 2 * workers:
+                yield waiting.popleft().result()
+        while waiting:
+            yield waiting.popleft().result()
+
+
+def ask(df: DataFrame, prompt_col: str, client: Callable[[], Callable[[str], str]], retries: int = 1, wait: float = 0.0, workers: int = 1, check: Callable[[str], bool] | None = None) -> DataFrame:
+    """`df` with reply and error. `client` makes a caller in each task, which has `workers` threads; see `tried` for what is tried again."""
     from pyspark.sql import types as T
 
     def run(batches):
         call = client()
         for pdf in batches:
-            replies, errors = [], []
-            for text in pdf[prompt_col]:
-                reply, error = None, None
-                for k in range(retries + 1):
-                    try:
-                        reply, error = call(text), None
-                        break
-                    except (TimeoutError, ConnectionError) as e:
-                        error = f"{type(e).__name__}: {e}"
-                        time.sleep(wait * 2**k)
-                    except Exception as e:  # noqa: BLE001  anything else is not tried again
-                        error = f"{type(e).__name__}: {e}"
-                        break
-                replies.append(reply)
-                errors.append(error)
+            found = list(in_flight(lambda text: tried(call, text, retries, wait, check), pdf[prompt_col], workers))
+            replies, errors = [r for r, _ in found], [e for _, e in found]
             yield pdf.assign(reply=pd.Series(replies, index=pdf.index, dtype=object), error=pd.Series(errors, index=pdf.index, dtype=object))
 
     kept = [f for f in df.schema.fields if f.name not in ("reply", "error")]

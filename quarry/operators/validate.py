@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import strip
+
 
 def first_reason(rules: Sequence[tuple[str | Column, Column]]) -> Column:
     """The reason of the first rule that holds, else null. A reason may be an expression, e.g. with the names of missing keys."""
@@ -107,3 +109,25 @@ def conforms(df: DataFrame, schema: T.StructType) -> bool:
 def same_keys(text: Column, keys: Sequence[str]) -> Column:
     """Whether a JSON object has exactly these keys, in any order."""
     return F.array_sort(F.json_object_keys(text)) == F.array(*map(F.lit, sorted(keys)))
+
+
+def long_enough(text: str, key: str, least: int = 30) -> Column:
+    """Whether a row has an id and, without white space at its ends, a text of `least` characters."""
+    return (F.trim(F.coalesce(F.col(key).cast("string"), F.lit(""))) != "") & (F.length(strip(F.coalesce(F.col(text), F.lit("")))) >= least)
+
+
+def oversize(df: DataFrame, text: str, most: int = 2000) -> DataFrame:
+    """rows, oversize: how many texts have more than `most` characters."""
+    return df.agg(F.count("*").alias("rows"), F.count_if(F.length(text) > most).alias("oversize"))
+
+
+def zip_rows(left: DataFrame, right: DataFrame, place: str, equal: str) -> DataFrame:
+    """Rows of two tables joined by their place. Tables of different length, a repeated place, and rows of one place whose `equal` differs are errors, raised where they are met."""
+    mine = left.select(F.col(place).alias("__p"), F.col(equal).alias("__e"), F.struct(*left.columns).alias("__l"))
+    yours = right.select(F.col(place).alias("__q"), F.col(equal).alias("__f"), F.struct(*[c for c in right.columns if c not in (place, equal)]).alias("__r"))
+    single = lambda df, k: df.groupBy(k).agg(F.count("*").alias(f"__n{k}"), *(F.first(c).alias(c) for c in df.columns if c != k))
+    both = single(mine, "__p").join(single(yours, "__q"), F.col("__p") == F.col("__q"), "full_outer")
+    wrong = F.when((F.col("__n__p") > 1) | (F.col("__n__q") > 1), "repeated place").when(F.col("__p").isNull(), "only right").when(F.col("__q").isNull(), "only left").when(~F.col("__e").eqNullSafe(F.col("__f")), "rows differ")
+    message = F.concat(wrong, F.lit(" at "), F.coalesce("__p", "__q").cast("string"))
+    checked = both.withColumn("__l", F.when(wrong.isNull(), F.col("__l")).otherwise(F.raise_error(message).cast(both.schema["__l"].dataType)))
+    return checked.select("__l.*", "__r.*")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import table_digest
+from ..functions.text import iso_seconds
 from ..operators.adapt import map_columns
 from ..operators.state import pending
 
@@ -70,3 +72,51 @@ def left_to_do(contents: DataFrame, finished: DataFrame) -> DataFrame:
     """Contents that no finished import has."""
     key = F.concat_ws(":", "job", "digest")
     return pending(contents.withColumn("content", key), finished.select(key.alias("content")), "content").drop("content")
+
+
+def lanes(jobs: list[Job], done: set[str], width: int = 3) -> list[list[Job]]:
+    """What is left to do, in stages of jobs that do not depend on each other, each dealt to `width` lanes in turn. A stage's jobs begin when the stages before are done."""
+    out = []
+    for group in GROUPS:
+        left = [j for j in in_order(jobs) if j.group == group and j.key not in done]
+        out += [left[k::width] for k in range(min(width, len(left)))] if left else []
+    return out
+
+
+def supervise(jobs: list[Job], run: Callable[[Job], bool], done: set[str], width: int = 3, sweeps: int = 2) -> tuple[set[str], list[str]]:
+    """Runs what is left, stage by stage in lanes side by side; jobs that fail are swept up again, `sweeps` times at most. A stage that is not done ends the run. Gives what is done and what failed."""
+    done = set(done)
+    for group in GROUPS:
+        for _ in range(sweeps + 1):
+            left = [j for j in in_order(jobs) if j.group == group and j.key not in done]
+            if not left:
+                break
+            with ThreadPoolExecutor(width) as pool:
+                done |= {j.key for j, good in zip(left, pool.map(run, left)) if good}
+        failed = [j.key for j in in_order(jobs) if j.group == group and j.key not in done]
+        if failed:
+            return done, failed
+    return done, []
+
+
+@dataclass
+class Watchdog:
+    """Says when a service is to be started anew: its longest transaction is over `most` seconds, `cooldown` seconds have passed since the last time, and there were less than `daily` times that day."""
+
+    most: float = 600
+    cooldown: float = 1800
+    daily: int = 4
+    times: list[float] = field(default_factory=list)
+
+    def due(self, longest: float, now: float) -> bool:
+        """longest: seconds, negative if they are not known."""
+        today = [t for t in self.times if t // 86_400 == now // 86_400]
+        if longest <= self.most or len(today) >= self.daily or (self.times and now - self.times[-1] < self.cooldown):
+            return False
+        self.times.append(now)
+        return True
+
+
+def longest_running(transactions: DataFrame, state: str = "Closing") -> DataFrame:
+    """seconds: the longest of the transactions (status, elapsed as an ISO duration) in a state; 0 if there are none."""
+    return transactions.where(F.col("status") == state).agg(F.coalesce(F.max(iso_seconds("elapsed")), F.lit(0.0)).alias("seconds"))

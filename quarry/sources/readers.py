@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,15 +50,31 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def question_sets(spark: SparkSession, paths: str | list[str], key: str = "test_id") -> DataFrame:
-    """Question sets with `dataset`, the name of the folder; empty and repeated ids are errors."""
+    """Question sets with `dataset`, the name of the folder; empty and repeated ids, blank questions and empty sets are errors."""
     rows = csv_table(spark, paths, [key, "question"])
     rows = rows.withColumn("dataset", F.element_at(F.split(F.input_file_name(), "/"), -2))
     bad = rows.groupBy("dataset", key).count().where(f"trim({key}) = '' or count > 1").limit(5).collect()
     if bad:
         raise ValueError(f"empty or repeated ids: {[(r.dataset, r[key], r['count']) for r in bad]}")
+    blank = rows.where(F.trim("question") == "").select(key).limit(5).collect()
+    if blank:
+        raise ValueError(f"blank questions: {[r[key] for r in blank]}")
+    if rows.isEmpty():
+        raise ValueError("a question set without questions")
     return rows
 
 
+def ad_hoc(text: str, **tables: DataFrame) -> DataFrame:
+    """A query in SQL over the tables given by name, written in the text as {name}."""
+    return next(iter(tables.values())).sparkSession.sql(text, **tables)
+
+
+def table_count(table: DataFrame, distinct: str | None = None, where: Column | str | None = None) -> DataFrame:
+    """n: rows, or distinct values of a column, of a table or of a part of it."""
+    rows = table if where is None else table.where(where)
+    return rows.agg((F.count_distinct(distinct) if distinct else F.count("*")).alias("n"))
+
+
 def predictions(spark: SparkSession, path: str, key: str = "test_id") -> DataFrame:
     """test_id, answer: of repeated ids the last line counts; null is empty, other values are their text; broken lines are left out."""
     lines = text_lines(spark, path).where(F.try_parse_json("line").isNotNull())

@@ -106,9 +106,13 @@ def test_readers(spark, tmp_path):
     assert sorted((r.test_id, r.answer) for r in readers.predictions(spark, str(tmp_path / "a.jsonl")).collect()) == [("1", "5"), ("2", "")]
     folder = tmp_path / "set1"
     folder.mkdir()
-    (folder / "q.csv").write_text('﻿test_id,question\n1,"a\nb"\n2,\n', encoding="utf-8")
+    (folder / "q.csv").write_text('﻿test_id,question\n1,"a\nb"\n2,c\n', encoding="utf-8")
     rows = readers.question_sets(spark, str(folder / "q.csv")).orderBy("test_id").collect()
-    assert [(r.test_id, r.question, r.dataset) for r in rows] == [("1", "a\nb", "set1"), ("2", "", "set1")]
+    assert [(r.test_id, r.question, r.dataset) for r in rows] == [("1", "a\nb", "set1"), ("2", "c", "set1")]
+    for k, text in enumerate(("test_id,question\n1, \n", "test_id,question\n", "test_id,question\n1,a\n1,b\n")):
+        (folder / f"bad{k}.csv").write_text(text, encoding="utf-8")
+        with pytest.raises(ValueError):
+            readers.question_sets(spark, str(folder / f"bad{k}.csv"))
     with pytest.raises(ValueError):
         readers.csv_table(spark, str(folder / "q.csv"), ["none"])
     (tmp_path / "ids.txt").write_text("b\n# no\n\na\nb\n")
