@@ -77,7 +77,13 @@ def multihop_plan(spark, sf):
     return run.bound["a2"][1]
 
 
-@query()
+@query(f"""with q as (select embedding as v from embeddings order by vec_id limit 1), s as (select 'o' || (vec_id + 1) as id, (vec_id + 1)::varchar as name, {_COSINE} as score from embeddings e, q where {_COSINE} >= 0.45 order by score desc, id limit 5),
+b as (select id, name from (select *, row_number() over (partition by name order by score desc, id) as r from s) where r = 1 order by score desc, id limit 2),
+m as (select distinct 'o' || l_orderkey as id, 'p' || l_partkey as node, p_name as name from lineitem join part on l_partkey = p_partkey),
+t as (select id, string_agg(name, '、' order by node, name) as names from (select *, row_number() over (partition by id order by node, name) as r from m) where r <= 20 group by id),
+h as (select distinct 'o' || o_orderkey as id, 'c' || o_custkey as node, c_name as name from orders join customer on o_custkey = c_custkey),
+d as (select id, string_agg(name, '、' order by node, name) as names from (select *, row_number() over (partition by id order by node, name) as r from h) where r <= 10 group by id)
+select b.id, b.name, coalesce(t.names, '') as "requiresMaterial", coalesce(d.names, '') as "handledBy" from b left join t on b.id = t.id left join d on b.id = d.id""")
 def retrieve_single_shot(spark, sf):
     first = _first_vector(spark, sf)
     return retrieval.retrieve(_graph(spark, sf), "first", lambda text: first)["services"].select("id", "name", "requiresMaterial", "handledBy")
@@ -119,7 +125,10 @@ def round_robin_pick(spark, sf):
     return sample.round_robin(table(spark, sf, "documents").select("doc_id", "lang", "source"), "lang", "source", "doc_id", 30, 3)
 
 
-@query()
+@query("""with n as (select lang, count(*) as n, sum(count(*)) over () as total from documents group by lang),
+b as (select *, least(n, greatest(1, 100 * n // total)) as base, row_number() over (order by 100 * n % total desc, n desc, lang) as place from n),
+q as (select lang, case when total <= 100 then n else base + (place <= 100 - sum(base) over ())::int end as quota from b)
+select doc_id, lang from (select d.doc_id, d.lang, q.quota, row_number() over (partition by d.lang order by md5(d.doc_id || '|5'), d.doc_id) as r from documents d join q on d.lang is not distinct from q.lang) where r <= quota""")
 def quota_sample(spark, sf):
     return sample.with_quotas(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", 100, 5)
 
@@ -248,13 +257,21 @@ def canonical_nfkc(spark, sf):
     return spread(table(spark, sf, "documents")).select("doc_id", F.md5(tx.canonical("text")).alias("digest"))
 
 
-@query()
+@query("""with recursive l as (select source, doc_id, to_json({'doc_id': doc_id, 'lang': lang, 'text': text})::varchar || chr(10) as line from documents),
+c as (select *, strlen(line) as n, sum(strlen(line)) over (partition by source order by doc_id) as ends, row_number() over (partition by source order by doc_id) as r from l),
+p as (select source, 1 as part, 1::bigint as first, 0::hugeint as before from c where r = 1
+ union all select p.source, p.part + 1, min(c.r), min(c.ends - c.n) from p join c on c.source = p.source and c.r > p.first and c.ends - p.before > 64000 group by p.source, p.part),
+f as (select *, coalesce(lead(first) over (partition by source order by part), 1::bigint << 60) as upto from p)
+select f.source, f.part::int as part, count(*) as rows, sum(n)::bigint as bytes, sha256(string_agg(line, '' order by r)) as sha256 from f join c on c.source = f.source and c.r >= f.first and c.r < f.upto group by f.source, f.part""")
 def byte_shards(spark, sf):
     lines = table(spark, sf, "documents").select("source", "doc_id", F.to_json(F.struct("doc_id", "lang", "text")).alias("line"))
     return sinks.byte_parts(lines, "source", "doc_id", "line", 64_000, 350_000)
 
 
-@query()
+@query(f"""with d as (select doc_id, doc_id % 2 = 0 as is_condition, unnest(list_transform(string_split(regexp_replace(text, '\\.[ \\t\\n\\x0B\\f\\r]', '.' || chr(1), 'g'), chr(1)), lambda s, k: {{'k': k, 's': regexp_replace(s, '^{tx.SPACE}+|{tx.SPACE}+$', '', 'g')}})) as x from documents where doc_id % 5 <> 0),
+r as (select doc_id, is_condition, x.k as k, x.s as s, length(x.s) >= {propositions.LEAST} as good from d)
+select doc_id as key, count(*) as raw, count(*) filter (k = 2) as invalid_predicate, count(*) filter (not good) as bad_statement, count(*) filter (good and is_condition and k > 1) as invalid_condition_type,
+ count(distinct s) filter (good) as kept, count(*) - count(*) filter (not good) - count(distinct s) filter (good) as duplicate from r group by doc_id""")
 def proposition_parse(spark, sf):
     """Replies made of all sentences of a document; every fifth is no JSON."""
     items = F.transform(F.split("text", r"(?<=\.)\s"), lambda s, k: F.struct(F.when(k == 0, "资格要求").when(k == 1, "unknown").otherwise("其他").alias("predicate"), s.alias("statement"), F.lit("x").alias("objectValue"), F.when(k == 0, "时间限制").otherwise("odd").alias("conditionType")))
@@ -294,7 +311,8 @@ def stream_dedup(spark, sf):
     return _stream(spark, sf, lambda s: streams.dedup_stream(s, ["event_id"], "3650 days")).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""select time_bucket(interval 1 hour, ts) as start, event_type, count(*) as n, round(sum(value), 6) as total from events
+group by all having time_bucket(interval 1 hour, min(ts)) + interval 1 hour <= (select max(ts) - interval 10 minute from events)""")
 def stream_tumbling(spark, sf):
     """Windows that the watermark has closed when the stream ends."""
     return _stream(spark, sf, lambda s: streams.tumbling(s, "1 hour", "10 minutes"))
