@@ -3,8 +3,9 @@
 A lexicon is learned first: whole words and word beginnings whose share among documents labelled toxic is
 well above their share among the others. Features of a text are densities of lexicon hits, their nearness
 to second-person words, capitals, punctuation and obfuscated spellings; they cover the whole text. Trees
-are grown on one part of the labelled rows, calibrated on another, and the lexicon comes from a third, so
-that none of the three judges rows it has seen.
+are grown on all labelled rows and calibrated on all of them, by folds: a row's features come from a lexicon
+of the other folds, and its margin for calibration from trees of the other folds, so that none of the three
+judges rows it has seen.
 
 Bounds: at most `max_labelled` labelled rows (20,000, those of smallest hash) train the model, and the
 lexicon has at most `max_terms` entries (4,000); both are parameters and neither grows with the corpus.
@@ -34,6 +35,7 @@ from .shared import documents, map_arrow, stored, worker_keeps
 MAX_LABELLED = 20_000
 MAX_TERMS = 4_000
 THRESHOLD = 0.7
+FOLDS = 5
 #: Second-person words of the corpus's four languages.
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine deiner deinen deinem ihr euch euer tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros tus".split())
 #: Characters that stand for letters in obfuscated spellings.
@@ -220,76 +222,88 @@ class Model:
         return np.clip(np.interp(self.trees.margin(features), *self.points), 0.0, 1.0)
 
 
-def _part(doc_id) -> F.Column:
-    return F.pmod(F.xxhash64(doc_id, F.lit(11)), F.lit(10))
+def _fold(doc_id) -> F.Column:
+    return F.pmod(F.xxhash64(doc_id, F.lit(11)), F.lit(FOLDS)).cast("int")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_labelled: int) -> DataFrame:
-    """(text, toxic, part) of at most max_labelled rows that may train: crc32 of the id as text, modulo 3, is not 1."""
+    """(text, toxic, fold) of at most max_labelled rows that may train: crc32 of the id as text, modulo 3, is not 1."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return stored(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", _part(F.col("doc_id")).alias("part")), "toxicity-labelled")
+    return stored(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", _fold(F.col("doc_id")).alias("fold")), "toxicity-labelled")
 
 
-def learn_lexicon(rows: DataFrame, max_terms: int = MAX_TERMS, least: int = 4) -> dict[str, float]:
-    """Terms of toxic documents with their weight, the logarithm of how much likelier they are there. rows: text, toxic."""
+def count_terms(rows: DataFrame) -> DataFrame:
+    """term, fold, pos, neg: documents of either label that hold a term, by fold. rows: text, toxic, fold."""
 
     def count(batches):
         import pyarrow as pa
 
-        n, seen = {0: Counter(), 1: Counter()}, Bounded(terms_of)
+        n, seen = Counter(), Bounded(terms_of)
 
         def flush():
-            keys = list(n[0].keys() | n[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([n[1][k] for k in keys], pa.int64()), pa.array([n[0][k] for k in keys], pa.int64())], names=["term", "pos", "neg"])
-            n[0].clear()
-            n[1].clear()
+            keys = list({(fold, term) for fold, _, term in n})
+            columns = [[t for _, t in keys], [f for f, _ in keys], *([n[f, y, t] for f, t in keys] for y in (1, 0))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()))], names=["term", "fold", "pos", "neg"])
+            n.clear()
 
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n[int(toxic)].update({t for w in set(WORD.findall((text or "").lower())) for t in seen[w]})
-                if len(n[0]) + len(n[1]) > 400_000:
+            for text, toxic, fold in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                n.update((fold, toxic, t) for t in {t for w in set(WORD.findall((text or "").lower())) for t in seen[w]})
+                if len(n) > 400_000:
                     yield from flush()
         yield from flush()
 
-    totals = dict(rows.groupBy("toxic").count().collect())
-    pos, neg = totals.get(1, 0), totals.get(0, 0)
+    narrow = rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold"))
+    counts = map_arrow(narrow, count, "term string, fold int, pos long, neg long").groupBy("term", "fold").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return stored(counts, "toxicity-terms")
+
+
+def learn_lexicon(counts: DataFrame, totals: dict[tuple[int, int], int], without: int | None = None, max_terms: int = MAX_TERMS, least: int = 4) -> dict[str, float]:
+    """Terms of toxic documents with their weight, the logarithm of how much likelier they are there. `without` is a fold that is left out; totals: documents by fold and label."""
+    pos, neg = (sum(n for (fold, y), n in totals.items() if y == label and fold != without) for label in (1, 0))
     if not pos or not neg:
         return {}
-    counts = map_arrow(rows.select("text", "toxic"), count, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    own = counts if without is None else counts.where(F.col("fold") != without)
+    sums = own.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     weight = F.log((F.col("pos") + 0.5) / (pos + 1.0)) - F.log((F.col("neg") + 0.5) / (neg + 1.0))
-    kept = counts.where(F.col("pos") >= least).withColumn("weight", weight).where("weight > 1.5 and pos > 0.5 * neg")
+    kept = sums.where(F.col("pos") >= least).withColumn("weight", weight).where("weight > 1.5 and pos > 0.5 * neg")
     return {r.term: float(r.weight) for r in kept.orderBy(F.desc(F.col("weight") * F.sqrt("pos")), "term").limit(max_terms).collect()}
 
 
-def _features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    mark = uuid.uuid4().hex
+def _features(rows: DataFrame, lexica: list[dict[str, float]]) -> DataFrame:
+    """x, toxic, fold: features of each row by the lexicon that its fold has no part in."""
 
     def run(batches):
         import pyarrow as pa
 
-        make = worker_keeps(("features", mark), lambda: Features(lexicon))
+        make = [Features(lexicon, 50_000) for lexicon in lexica]
         for batch in batches:
-            x = [make.of(t.as_py()).tolist() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "toxic", "part"])
+            x = [make[fold].of(t.as_py()).tolist() for t, fold in zip(batch.column(0), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "toxic", "fold"])
 
-    return map_arrow(rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("part").cast("int").alias("part")), run, "x array<double>, toxic int, part int")
+    return map_arrow(rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold")), run, "x array<double>, toxic int, fold int")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> Model:
+    """The model of all labelled rows. Lexica and trees that judge a fold's rows, for features and for calibration, are those of the other folds."""
     rows = labelled(docs, labels, id_col, text_col, max_labelled)
-    lexicon = learn_lexicon(rows.where("part < 4"), max_terms)
-    table = _features(rows.where("part >= 4"), lexicon).collect()  # one short row for each of max_labelled rows at most
-    y = np.array([r.toxic for r in table], float)
-    part = np.array([r.part for r in table])
-    share = float(y.mean()) if len(y) else 0.0
-    fit, held = part < 8, part >= 8
-    if len(y) == 0 or len(set(y[fit])) < 2 or len(set(y[held])) < 2:
-        return Model(lexicon, None, None, share)
-    x = np.array([r.x for r in table])
-    trees = Trees().fit(x[fit], y[fit])
-    return Model(lexicon, trees, isotonic(trees.margin(x[held]), y[held]), share)
+    totals = {(r.fold, r.toxic): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}
+    n, toxic = sum(totals.values()), sum(k for (_, y), k in totals.items() if y == 1)
+    share = toxic / n if n else 0.0
+    if not toxic or toxic == n:
+        return Model({}, None, None, share)
+    counts = count_terms(rows)
+    lexicon = learn_lexicon(counts, totals, None, max_terms)
+    table = _features(rows, [learn_lexicon(counts, totals, k, max_terms) for k in range(FOLDS)]).collect()  # one short row for each of max_labelled rows at most
+    x, y, fold = np.array([r.x for r in table]), np.array([r.toxic for r in table], float), np.array([r.fold for r in table])
+    margin = np.zeros(len(y))
+    for k in range(FOLDS):
+        own, others = fold == k, fold != k
+        if own.any():
+            margin[own] = Trees().fit(x[others], y[others]).margin(x[own]) if len(set(y[others])) == 2 else 0.0
+    return Model(lexicon, Trees().fit(x, y), isotonic(margin, y), share)
 
 
 def score_documents(df: DataFrame, model: Model, text_col: str = "text", out: str = "score", keep: list[str] | None = None) -> DataFrame:

@@ -323,3 +323,27 @@ def test_fold_leaves_batches_that_come_meanwhile(spark, tmp_path):
     assert [tuple(r) for r in rollup.totals().select("documents", "tokens").collect()] == [(2, 12)]
     rollup.fold()
     assert [tuple(r) for r in rollup.totals().select("documents", "tokens").collect()] == [(2, 12)] and rollup.committed() == ["a", "b"]
+
+
+def test_toxicity_query_on_a_table(spark):
+    import zlib as z
+
+    sf = "/root/testdata/sf0.1"
+    got = toxicity.op2_toxicity(spark, sf).collect()
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    assert all(r.held_out == (z.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(r.predicted, truth[r.doc_id], r.score) for r in got if r.held_out and r.doc_id in truth]
+    toxic = [s for _, y, s in held if y]
+    assert sum(p for p, y, _ in held if y) >= 0.88 * len(toxic) and sum(p for p, y, _ in held if not y) <= 0.02 * len(held)
+    clean = [s for _, y, s in held if not y]
+    assert np.mean([np.mean([a > b or (a == b) / 2 for b in clean]) for a in toxic]) > 0.95
+
+
+def test_toxicity_without_both_labels(spark):
+    docs = spark.createDataFrame([(k, "a b c") for k in range(20)], "doc_id long, text string")
+    for labels in ([], [(k, 0) for k in range(20)], [(k, 1) for k in range(20)], [(None, 1), (3, None)]):
+        model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        scores = {r.score for r in toxicity.score_documents(docs, model).collect()}
+        assert len(scores) == 1 and 0 <= scores.pop() <= 1
