@@ -35,7 +35,7 @@ from .shared import documents, map_arrow, stored, worker_keeps
 MAX_LABELLED = 20_000
 MAX_TERMS = 4_000
 THRESHOLD = 0.7
-FOLDS = 5
+FOLDS = 3
 #: Second-person words of the corpus's four languages.
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine deiner deinen deinem ihr euch euer tu te toi ton ta tes vous votre vos tú ti usted ustedes vosotros tus".split())
 #: Characters that stand for letters in obfuscated spellings.
@@ -60,16 +60,26 @@ class Features:
     table: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
+        self.starts = {t[:3] for t in self.lexicon}
         self.clear()
 
     def clear(self) -> None:
         self.table, self.rows, self.at = {}, np.zeros((self.most, self.columns), np.float32), 0
 
     def weight(self, word: str) -> float:
+        if word[:3] not in self.starts:
+            return 0.0
         get = self.lexicon.get
         return max([get(t, 0.0) for t in terms_of(word)], default=0.0)
 
     def piece(self, piece: str) -> list[float]:
+        body = piece[:-1] if piece[-1] in ".,;:" else piece
+        capital = body[:1].isupper()
+        if body.isalpha() and (body[1:] if capital else body).islower():  # most pieces: a plain word, with a mark or without
+            low = body.lower()
+            if low.isalpha():
+                weight = self.weight(low)
+                return [1, weight > 0, weight, weight >= 3, low in SECOND, len(low), capital, 0, 0, len(piece) - len(body), 0, 0.0]
         low = piece.lower()
         words = WORD.findall(low)
         weights = [self.weight(w) for w in words]
@@ -234,30 +244,41 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max
     return stored(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", _fold(F.col("doc_id")).alias("fold")), "toxicity-labelled")
 
 
-def count_terms(rows: DataFrame) -> DataFrame:
-    """term, fold, pos, neg: documents of either label that hold a term, by fold. rows: text, toxic, fold."""
+def _term_counts(rows: DataFrame, among: frozenset[str] | None = None) -> DataFrame:
+    """term, fold, n: documents that hold a term, by fold; of all terms, or of those `among`. rows: text, fold."""
+    shared = rows.sparkSession.sparkContext.broadcast(among)
 
     def count(batches):
         import pyarrow as pa
 
-        n, seen = Counter(), Bounded(terms_of)
+        wanted = shared.value
+        n, seen = [Counter() for _ in range(FOLDS)], Bounded(terms_of if wanted is None else lambda w: [t for t in terms_of(w) if t in wanted])
 
         def flush():
-            keys = list({(fold, term) for fold, _, term in n})
-            columns = [[t for _, t in keys], [f for f, _ in keys], *([n[f, y, t] for f, t in keys] for y in (1, 0))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64(), pa.int64()))], names=["term", "fold", "pos", "neg"])
-            n.clear()
+            for fold, own in enumerate(n):
+                yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array([fold] * len(own), pa.int32()), pa.array(list(own.values()), pa.int64())], names=["term", "fold", "n"])
+                own.clear()
 
         for batch in batches:
-            for text, toxic, fold in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                n.update((fold, toxic, t) for t in {t for w in set(WORD.findall((text or "").lower())) for t in seen[w]})
-                if len(n) > 400_000:
+            for text, fold in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n[fold].update({t for w in set(WORD.findall((text or "").lower())) for t in seen[w]})
+                if sum(map(len, n)) > 400_000:
                     yield from flush()
         yield from flush()
 
-    narrow = rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold"))
-    counts = map_arrow(narrow, count, "term string, fold int, pos long, neg long").groupBy("term", "fold").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    return stored(counts, "toxicity-terms")
+    return map_arrow(rows.select("text", F.col("fold").cast("int").alias("fold")), count, "term string, fold int, n long").groupBy("term", "fold").agg(F.sum("n").alias("n"))
+
+
+def count_terms(rows: DataFrame, least: int = 4) -> DataFrame:
+    """term, fold, pos, neg: documents of either label that hold a term, by fold, of terms that `least` toxic documents hold. rows: text, toxic, fold.
+
+    Toxic documents are counted first; the others are searched for what these have in common, a part of the words of max_labelled documents.
+    """
+    pos = stored(_term_counts(rows.where("toxic = 1")), "toxicity-terms")
+    common = pos.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("term").toArrow().column(0).to_pylist()
+    neg = _term_counts(rows.where("toxic = 0"), frozenset(common))
+    both = pos.select("term", "fold", F.col("n").alias("pos"), F.lit(0).alias("neg")).unionByName(neg.select("term", "fold", F.lit(0).alias("pos"), F.col("n").alias("neg")))
+    return stored(both.groupBy("term", "fold").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "toxicity-counts")
 
 
 def learn_lexicon(counts: DataFrame, totals: dict[tuple[int, int], int], without: int | None = None, max_terms: int = MAX_TERMS, least: int = 4) -> dict[str, float]:
@@ -278,12 +299,13 @@ def _features(rows: DataFrame, lexica: list[dict[str, float]]) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        make = [Features(lexicon, 50_000) for lexicon in lexica]
+        make = [Features(lexicon, 60_000) for lexicon in lexica]
         for batch in batches:
             x = [make[fold].of(t.as_py()).tolist() for t, fold in zip(batch.column(0), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1), batch.column(2)], names=["x", "toxic", "fold"])
 
-    return map_arrow(rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold")), run, "x array<double>, toxic int, fold int")
+    by_fold = rows.repartition("fold", F.pmod(F.xxhash64("text"), F.lit(4)))  # a task has few folds, and so few tables to fill
+    return map_arrow(by_fold.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold")), run, "x array<double>, toxic int, fold int")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> Model:
