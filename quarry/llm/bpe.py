@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .shared import documents, map_arrow, worker_keeps
 
 #: Entries of each table of pieces already encoded or decoded.
-TABLE = 100_000
+TABLE = 120_000
 #: Symbols read between two searches for stable tokens, and pieces handled at once.
 BLOCK = 256
 PIECES = 8192
@@ -59,17 +59,21 @@ def byte_alphabet() -> list[str]:
 
 
 class Bounded(dict):
-    """A table filled by `make`. When it is full the older half goes."""
+    """A table filled by `make`. When it is full it is set aside, in the place of the one before, and entries still in use come back from there."""
 
     def __init__(self, make, most: int = TABLE):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.aside = make, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
-            for old in list(islice(self, self.most // 2)):
-                del self[old]
-        value = self[key] = self.make(key)
+            self.aside = None
+            self.aside = dict(self)
+            self.clear()
+        value = self.aside.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -95,8 +99,9 @@ class Transducer:
             self.pair.setdefault((number[a], number[b]), t)
         self.inner, self.final = self._by_ending(False), self._by_ending(True) if suffix else None
         self.fits = Bounded(lambda ab: self.follows(ab >> 20, ab & 0xFFFFF), TABLE // 2)
-        spelled = [len(self._symbols(t)) for t in number]
-        self.longest = max(spelled, default=1)
+        self.width = [len(self._symbols(t)) for t in number]
+        self.longest = max(self.width, default=1)
+        self.prefixes = Bounded(lambda prefix: self._ending(prefix, *self.inner), TABLE // 3)
         self.lookahead = max(1, len(merges)) * self.longest
 
     def _symbols(self, token: str) -> str:
@@ -204,14 +209,28 @@ class Transducer:
             chains = lo + [shorter] + [c for c in chains if c > shorter]
         return chains[0] if chains else 0
 
+    def _ending(self, text: str, tokens: dict[str, int], lengths: dict[str, list[int]]) -> int:
+        """The token that ends a short text's encoding. What it needs of shorter prefixes is kept in a table, since words share their beginnings."""
+        n, fits, prefixes = len(text), self.fits, self.prefixes
+        for w in lengths.get(text[-3:], (2, 1)):
+            if w <= n:
+                t = tokens.get(text[n - w :])
+                if t is not None and (w == n or fits[prefixes[text[: n - w]] << 20 | t]):
+                    return t
+        return t
+
     def encode(self, symbols: str) -> list[int]:
         """Token ids of one short pre-token."""
         if len(symbols) > BLOCK:
             return list(self.stream([symbols]))
-        n = len(symbols)
-        last, size = [-1, *[None] * n], [0] * (n + 1)
-        self._last(symbols, n, last, size, bool(self.suffix))
-        return self._path(last, size, n)
+        if not symbols:
+            return []
+        t, end = self._ending(symbols, *(self.final if self.suffix else self.inner)), len(symbols)
+        found = [self.out[t]]
+        while end := end - self.width[t]:
+            t = self.prefixes[symbols[:end]]
+            found.append(self.out[t])
+        return found[::-1]
 
 
 class Codec:
@@ -300,7 +319,9 @@ class Codec:
             pieces = part.split() if not ODD.search(part) else [x for x in WHITE.split(part) if x]
             at = 0
             while at < len(pieces):
-                short = list(takewhile(lambda p: len(p) <= BLOCK, islice(pieces, at, at + PIECES)))
+                short = pieces[at : at + PIECES]
+                if len(max(short, key=len)) > BLOCK:
+                    short = list(takewhile(lambda p: len(p) <= BLOCK, short))
                 if short:
                     yield list(map(self.pieces.__getitem__, short))
                     at += len(short)
@@ -330,7 +351,7 @@ class Decoder:
         """The text that ids in decimal add. Unknown ids add nothing."""
         spelled = self.codec.spelled
         try:
-            found = [spelled[i] for i in ids]
+            found = list(map(spelled.__getitem__, ids))
         except KeyError:
             found = [spelled[i] for i in ids if i in spelled]
         if not found:

@@ -275,9 +275,12 @@ def test_long_text_is_held_in_blocks():
     assert peak[1] < 1.3 * peak[0] and peak[1] < 4_000_000
 
 
-def test_full_tables_drop_their_older_half():
-    table = bpe.Bounded(lambda k: k * 2, 10)
-    assert [table[k] for k in range(25)] == [2 * k for k in range(25)] and len(table) <= 10 and table[0] == 0
+def test_full_tables_keep_what_is_in_use():
+    made = []
+    table = bpe.Bounded(lambda k: made.append(k) or k * 2, 10)
+    for k in range(45):
+        assert table[k] == 2 * k and table[3 if k > 3 else k] in (6, 2 * k)
+    assert len(table) <= 10 and len(table.aside) <= 10 and made.count(3) == 1
 
 
 def test_token_files_of_text_ids_and_one_hot_id(spark, tmp_path):
