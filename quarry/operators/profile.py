@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import first_n
+
 
 def is_blank(c: Column) -> Column:
     """Null, or empty after stripping."""
@@ -37,9 +39,15 @@ def longest(df: DataFrame, column: str, seq: str) -> DataFrame:
 
 
 def code_text_pairs(df: DataFrame, code: str, text: str, most: int = 5) -> DataFrame:
-    """For each code the number of texts it has and, in order, up to `most` of them: a report's examples."""
+    """For each code the number of texts it has and, in order, up to `most` of them: a report's examples.
+
+    Texts are ranked with a limit before they are brought together, so that no task holds all texts of one code.
+    """
     pairs = df.where(~is_blank(F.col(code))).groupBy(code, text).count()
-    return pairs.groupBy(code).agg(F.count("*").alias("texts"), F.sum("count").alias("rows"), F.array_join(F.slice(F.array_sort(F.collect_list(text)), 1, most), ";").alias("examples"))
+    totals = pairs.groupBy(code).agg(F.count("*").alias("texts"), F.sum("count").alias("rows"))
+    ranked = first_n(pairs.where(F.col(text).isNotNull()), [code], [text], most)
+    examples = ranked.groupBy(code).agg(F.array_join(F.array_sort(F.collect_list(text)), ";").alias("examples"))
+    return totals.join(examples, code, "left").select(code, "texts", "rows", F.coalesce("examples", F.lit("")).alias("examples"))
 
 
 #: Fixed kinds of residue and the patterns that show them.

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators import adapt, chunk, dedup, graph, propositions, sample, score, state, unify, validate, vector
+from quarry.operators import adapt, chunk, dedup, graph, profile, propositions, sample, score, state, unify, validate, vector
 from quarry.queries import search
 
 
@@ -190,3 +190,10 @@ def test_embedding(spark):
 def test_upsert_keeps_the_last(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, seq int, v string")
     assert sorted((r.k, r.v) for r in dedup.last_wins(df, ["k"], ["seq"]).collect()) == [("a", "y"), ("b", "z")]
+
+
+def test_code_text_pairs_keep_totals_and_first_texts(spark):
+    rows = [("a", t) for t in "gfedcba"] + [("a", "a"), ("b", None), ("b", None), ("", "x"), (None, "y"), ("c", ""), ("c", None)]
+    got = profile.code_text_pairs(spark.createDataFrame(rows, "code string, text string"), "code", "text", 3).collect()
+    assert {tuple(r) for r in got} == {("a", 7, 8, "a;b;c"), ("b", 1, 2, ""), ("c", 2, 2, "")}
+    assert profile.code_text_pairs(spark.createDataFrame([], "code string, text string"), "code", "text").count() == 0
