@@ -106,6 +106,17 @@ def test_pieces_never_cross_pre_tokens():
         assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == gpt.encode(text, add_special_tokens=False).ids
 
 
+def test_words_encoded_by_one_call(monkeypatch):
+    gpt, rng = Tokenizer.from_file(token_files.default_path()), random.Random(5)
+    encoder, sizes = token_files.Encoder(bpe.read_spec(token_files.default_path()), table=20), []
+    monkeypatch.setattr(encoder, "_together", lambda missing, plain=encoder._together: sizes.append(len(found := plain(missing))) or found)
+    for _ in range(300):
+        words = ["".join(rng.choice("aeioutnsré日1\x1c-") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(40))]
+        text = "".join(rng.choice([" ", " ", " ", "  ", "\n"]) + w + rng.choice(["", "", ".", ","]) for w in words)
+        assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == gpt.encode(text, add_special_tokens=False).ids
+    assert max(sizes) > 10
+
+
 def test_long_texts_are_cut_where_it_does_not_matter(monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK", 100)
     gpt, encoder = Tokenizer.from_file(token_files.default_path()), token_files.Encoder(bpe.read_spec(token_files.default_path()))
